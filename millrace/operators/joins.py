@@ -1,0 +1,102 @@
+"""Joins with defaults, checked broadcasts and hot-key-safe outer joins."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Hint a broadcast only after counting that ``df`` has at most ``max_rows`` rows.
+
+    Beyond that the frame is returned without a hint and Spark plans a shuffle
+    join, whose hot partitions AQE splits.
+    """
+    seen = len(df.select(F.lit(1)).take(max_rows + 1))
+    return F.broadcast(df) if seen <= max_rows else df
+
+
+def hot_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """Outer join that stays balanced when a key is hot on either side.
+
+    AQE can split a hot partition on both sides of an inner join, but only on
+    the preserved side of an outer join and not at all in a full join.  So the
+    matches come from an inner join and the unmatched rows from anti joins
+    against the distinct keys of the other side.
+    """
+    on = list(on)
+    left_only = [c for c in left.columns if c not in on]
+    right_only = [c for c in right.columns if c not in on]
+    parts = [left.join(right, on, "inner").select(*on, *left_only, *right_only)]
+
+    def unmatched(side: DataFrame, other: DataFrame, own: list[str]) -> DataFrame:
+        rest = side.join(other.select(*on).distinct(), on, "left_anti")
+        return rest.select(*on, *own)
+
+    if how in ("left", "full"):
+        parts.append(unmatched(left, right, left_only))
+    if how in ("right", "full"):
+        parts.append(unmatched(right, left, right_only))
+    if how not in ("inner", "left", "right", "full"):
+        raise ValueError(f"unknown join type: {how}")
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
+def lookup(key: Column, names: Mapping[object, object], default: object = "Unknown") -> Column:
+    """Literal map lookup for a handful of keys; a missing or null key gives ``default``."""
+    if len(names) > 200:
+        raise ValueError("use lookup_join for more than 200 keys")
+    pairs = F.create_map(*[F.lit(x) for kv in names.items() for x in kv])
+    return F.coalesce(F.try_element_at(pairs, key), F.lit(default))
+
+
+def lookup_join(df: DataFrame, names: DataFrame, key: str, value: str, default: object,
+                max_rows: int = 100_000) -> DataFrame:
+    """Left join to a keyed table, missing keys filled with ``default``."""
+    return (df.join(broadcast_if_small(names.select(key, value), max_rows), key, "left")
+            .withColumn(value, F.coalesce(F.col(value), F.lit(default))))
+
+
+def zero_filled(dimension: DataFrame, facts: DataFrame, on: str,
+                defaults: Mapping[str, object]) -> DataFrame:
+    """One row for every row of ``dimension``; absent facts take the defaults.
+
+    ``facts`` has at most one row per key, so the join cannot fan out.
+    """
+    joined = dimension.join(facts, on, "left")
+    return joined.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
+
+
+def with_newest(df: DataFrame, readings: DataFrame, time: str, columns: Sequence[str]) -> DataFrame:
+    """Attach the newest reading to every row; without readings the columns are null.
+
+    The reading is one row, taken by an aggregate and used as a scalar subquery,
+    so there is no join at all.
+    """
+    newest = readings.agg(F.max_by(F.struct(*columns), F.struct(time, *columns)).alias("r")).scalar()
+    return (df.withColumn("_r", newest)
+            .select(*df.columns, *[F.col(f"_r.{c}").alias(c) for c in columns]))
+
+
+def windows_with_events(windows: DataFrame, events: DataFrame, key: str, end: str, time: str,
+                        size_seconds: int, slide_seconds: int) -> DataFrame:
+    """Join each window to the events of its key with ``end - size <= time < end``.
+
+    Windows end on multiples of the slide, so an event belongs to exactly
+    ``size / slide`` of them: events are counted per slide first, and the range
+    condition becomes an equality on (key, slide start).  Returns one row per
+    window with ``recounted``.
+    """
+    slide = F.lit(slide_seconds)
+    epoch = F.unix_timestamp(F.col(time))
+    panes = (events.groupBy(key, (epoch - F.pmod(epoch, slide)).alias("_pane"))
+             .agg(F.count(F.lit(1)).alias("_n")))
+    end_s = F.unix_timestamp(F.col(end))
+    spread = windows.select(
+        key, end, F.explode(F.sequence(end_s - size_seconds, end_s - slide_seconds, slide)).alias("_pane"))
+    return (spread.join(panes, [key, "_pane"], "left")
+            .groupBy(key, end).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("recounted")))
