@@ -47,7 +47,7 @@ _DRIVERS = """
 drivers AS (SELECT s_suppkey AS driver_id, s_name AS name,
                    CASE s_nationkey % 5 WHEN 0 THEN 'Auto' WHEN 1 THEN 'Bike' WHEN 2 THEN 'Mini' WHEN 3 THEN 'Sedan' ELSE 'SUV' END AS vehicle_type,
                    CAST(DATE '2020-01-01' + CAST(s_suppkey % 1000 AS INTEGER) AS DATE) AS joined_date,
-                   3 + s_suppkey % 200 / 100 AS rating FROM supplier),
+                   CAST(CAST(3 + s_suppkey % 200 / 100 AS DECIMAL(3,2)) AS DOUBLE) AS rating FROM supplier),
 dim_driver AS (SELECT row_number() OVER (ORDER BY driver_id) AS driver_key, driver_id, sha256(name) AS name_hash, vehicle_type,
                       strftime(joined_date, '%Y-%m-%d') AS joined_date, 'Hyderabad' AS home_city, rating FROM drivers)"""
 _FACT = WAREHOUSE_VALID + "," + _DRIVERS + """,
