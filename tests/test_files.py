@@ -1,0 +1,138 @@
+"""Readers, writers, imports and the catalog."""
+
+import datetime as dt
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from millrace.operators.layout import plan_text
+from millrace.sinks import files as sinks
+from millrace.sinks.streams import as_messages
+from millrace.sources import batch, catalog, incremental
+from millrace.tables import CLICKSTREAM, EMPLOYEES, LOG_LINES, read
+
+
+def test_text_and_words(spark, tmp_path):
+    (tmp_path / "t.txt").write_text("spark is fast\nspark is fun\n")
+    lines = batch.text_lines(spark, str(tmp_path / "t.txt"))
+    words = lines.select(F.explode(F.split("value", " ")).alias("w")).groupBy("w").count()
+    assert rows(words) == [("fast", 1), ("fun", 1), ("is", 2), ("spark", 2)]
+
+
+def test_csv(spark, tmp_path):
+    (tmp_path / "e.csv").write_text("EmployeeID,Name,Department,Salary,Experience\n1,Ann,IT,100,3\n")
+    path = str(tmp_path / "e.csv")
+    assert batch.csv_table(spark, path, EMPLOYEES).dtypes == batch.csv_table(spark, path, None).dtypes
+    assert batch.csv_table(spark, path, EMPLOYEES).first()["Name"] == "Ann"
+
+
+def test_log_without_header(spark, tmp_path):
+    (tmp_path / "l.log").write_text("2026-01-01 10:00:00,ERROR,1.1.1.1,/a,500,900\n")
+    assert batch.delimited_log(spark, str(tmp_path / "l.log"), LOG_LINES).first()["response_time"] == 900
+
+
+def test_permissive_text_csv(spark, tmp_path):
+    (tmp_path / "d.csv").write_text("a,b,c\n1,2,3\n1,2\n1,2,3,4\n")
+    got = batch.csv_as_text(spark, str(tmp_path / "d.csv"), ["a", "b", "c"])
+    assert rows(got) == [("1", "2", "3"), ("1", "2", "3"), ("1", "2", None)]
+
+
+def test_literal_and_generated_rows(spark):
+    assert batch.rows_table(spark, [(1, "a")], "id int, n string").toDF("x", "y").columns == ["x", "y"]
+    made = batch.generated(spark, 1, 1000, {"dept": F.col("id") % 5, "salary": F.lit(30000) + F.col("id") % 100}, 4)
+    assert made.rdd.getNumPartitions() == 4 and made.agg(F.count("*"), F.max("id")).first()[0:2] == (1000, 1000)
+
+
+def test_json_and_empty_table(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"event_id": "1", "event_time": "2026-01-01T00:00:00Z"}\n')
+    assert batch.json_table(spark, str(tmp_path / "a.json"), CLICKSTREAM).first()["event_time"] == dt.datetime(2026, 1, 1)
+    assert batch.parquet_or_empty(spark, str(tmp_path / "none"), "a int").count() == 0
+
+
+def test_newest_reading(spark):
+    r = spark.createDataFrame([("2026-01-01T00:00:00Z", 1.0), ("2026-01-02T00:00:00Z", 2.0)], "event_time string, rain double")
+    assert batch.newest_reading(r).first()["rain"] == 2.0 and batch.newest_reading(r.limit(0)).count() == 0
+
+
+def test_jdbc_options():
+    options = batch.jdbc_options("jdbc:x", "trips", "u", "p", "drv", "trip_id", 0, 100, 8)
+    assert options["numPartitions"] == "8" and options["lowerBound"] == "0" and options["user"] == "u"
+    assert "partitionColumn" not in batch.jdbc_options("jdbc:x", "trips")
+    with pytest.raises(ValueError):
+        batch.jdbc_options("jdbc:x", "trips", column="id")
+
+
+def test_naive_times_are_utc_and_scans_are_pruned(spark, sf):
+    assert dict(read(spark, sf, "events").dtypes)["ts"] == "timestamp"
+    plan = plan_text(read(spark, sf, "orders").where(F.col("o_totalprice") > 400000).select("o_orderkey"))
+    assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in plan
+    assert "GreaterThan(o_totalprice,400000.0)" in plan
+    with pytest.raises(ValueError):
+        read(spark, sf, "secrets")
+
+
+def test_reports_and_partitioned_files(spark, tmp_path, sf):
+    df = spark.createDataFrame([(1, "IT"), (2, "HR"), (3, "IT")], "id int, dept string").repartition(3)
+    sinks.report_csv(df, str(tmp_path / "one"))
+    assert len(list((tmp_path / "one").glob("*.csv"))) == 1
+    sinks.report_csv(df, str(tmp_path / "many"), max_rows=2)
+    assert len(list((tmp_path / "many").glob("*.csv"))) > 1
+    sinks.partitioned_csv(df, str(tmp_path / "parts"), "dept")
+    sinks.clustered_csv(df, str(tmp_path / "clustered"), "dept")
+    for folder in ("parts", "clustered"):
+        assert {p.name for p in (tmp_path / folder).glob("dept=*")} == {"dept=IT", "dept=HR"}
+    assert len(list((tmp_path / "clustered" / "dept=IT").glob("*.csv"))) == 1
+    sinks.parquet_tables({"a": df, "b": df.limit(1)}, str(tmp_path / "tables"))
+    assert spark.read.parquet(str(tmp_path / "tables" / "b")).count() == 1
+
+
+def test_partition_pruning_saves_bytes(spark, tmp_path, sf):
+    orders = read(spark, sf, "orders").withColumn("city", F.lit("c"))
+    path = str(tmp_path / "p")
+    sinks.partitioned_parquet(orders, path, ["city", "o_orderstatus"])
+    one = spark.read.parquet(path).where("city = 'c' AND o_orderstatus = 'P'")
+    assert sinks.scanned_bytes(one) < sinks.scanned_bytes(spark.read.parquet(path)) / 2
+    sinks.csv_copy(orders, str(tmp_path / "csv"))
+    header = next(iter(Path(tmp_path / "csv").glob("*.csv"))).read_text().splitlines()[0]
+    assert "city" not in header and "o_orderkey" in header
+
+
+def test_messages(spark):
+    row = as_messages(spark.createDataFrame([(7, "a")], "k int, v string"), "k").first()
+    assert (row["key"], row["value"]) == ("7", '{"k":7,"v":"a"}')
+
+
+def test_imports(spark, tmp_path):
+    table = str(tmp_path / "trips")
+    schema = "trip_id int, status string, last_modified timestamp"
+    t = lambda d: dt.datetime(2026, 1, d)
+    with pytest.raises(FileNotFoundError):
+        incremental.read_version(spark, table)
+    first = spark.createDataFrame([(1, "OPEN", t(1)), (2, "OPEN", t(2))], schema)
+    assert incremental.import_changes(spark, first, table, "trip_id", "last_modified") == 1
+    later = spark.createDataFrame([(1, "DONE", t(3)), (2, "STALE", t(1)), (3, "OPEN", t(4))], schema)
+    assert incremental.import_changes(spark, later, table, "trip_id", "last_modified") == 2
+    assert rows(incremental.read_version(spark, table).select("trip_id", "status")) == [(1, "DONE"), (2, "OPEN"), (3, "OPEN")]
+    assert rows(incremental.read_version(spark, table, 1).select("trip_id", "status")) == [(1, "OPEN"), (2, "OPEN")]
+    assert incremental.import_changes(spark, later, table, "trip_id", "last_modified") == 3  # nothing new, same rows
+    assert incremental.read_version(spark, table).count() == 3
+    assert incremental.current_version(spark, table) == (3, t(4))
+    incremental.full_refresh({"zones": first}, str(tmp_path / "dims"), files=1)
+    incremental.full_refresh({"zones": later}, str(tmp_path / "dims"), files=1)
+    assert spark.read.parquet(str(tmp_path / "dims" / "zones")).count() == 3
+
+
+def test_repair_finds_new_partitions(spark, tmp_path):
+    path = str(tmp_path / "ext")
+    df = spark.createDataFrame([(1, "a")], "id int, p string")
+    df.write.partitionBy("p").parquet(path)
+    catalog.register_external(spark, "ext_table", path, ["p"])
+    df.withColumn("p", F.lit("b")).write.mode("append").partitionBy("p").parquet(path)
+    assert spark.table("ext_table").count() == 1
+    catalog.repair(spark, "ext_table")
+    assert spark.table("ext_table").count() == 2
+    catalog.as_view(df, "a_view")
+    assert spark.sql("SELECT count(*) FROM a_view").first()[0] == 1
+    spark.sql("DROP TABLE ext_table")
