@@ -60,15 +60,16 @@ def in_box(lat: Column, lon: Column, box: tuple[float, float, float, float] = CI
 def nearest_zone(lat: Column, lon: Column, zones: Sequence[Zone]) -> Column:
     """Id of the closest zone; the lower id wins a tie.
 
-    The zones are part of the query, so the comparison is one ``least`` over
-    literals inside the scan stage: no join, no shuffle.
+    The zones are literals of the query, so the comparison runs inside the scan
+    stage: no join, no shuffle.
     """
     shrink = F.cos(F.radians(lat))
 
-    def entry(zone: Zone) -> Column:
+    def squared(zone: Zone) -> Column:
         dy, dx = F.lit(zone.lat) - lat, (F.lit(zone.lon) - lon) * shrink
-        return F.struct((dy * dy + dx * dx).alias("d"), F.lit(zone.zone_id).alias("zone_id"))
+        return dy * dy + dx * dx
 
-    if len(zones) == 1:
-        return F.lit(zones[0].zone_id)
-    return F.array_min(F.array(*[entry(z) for z in zones]))["zone_id"]
+    in_order = sorted(zones, key=lambda z: z.zone_id)
+    distances = F.array(*[squared(z) for z in in_order])
+    place = F.array_position(distances, F.array_min(distances)).cast("int")
+    return F.try_element_at(F.array(*[F.lit(z.zone_id) for z in in_order]), place)

@@ -14,15 +14,35 @@ def money(col: Column | str) -> Column:
     return (F.col(col) if isinstance(col, str) else col).cast("decimal(18,2)")
 
 
+def cents(col: Column | str) -> Column:
+    """An amount as whole cents: much cheaper to make from a double than a decimal with
+    places, and its sums are exact and cannot overflow."""
+    column = F.col(col) if isinstance(col, str) else col
+    return F.rint(column.cast("double") * 100).cast("bigint").cast("decimal(18,0)")
+
+
 def total(col: Column | str) -> Column:
     """Exact sum of an amount, handed back as a double."""
-    return F.sum(money(col)).cast("double")
+    return F.sum(cents(col)).cast("double") / 100
 
 
 def mean(col: Column | str) -> Column:
     """Mean of an amount from its exact sum."""
-    column = F.col(col) if isinstance(col, str) else col
-    return F.sum(money(column)).cast("double") / F.count(column)
+    return total(col) / F.count(F.col(col) if isinstance(col, str) else col)
+
+
+def subtotals(df: DataFrame, keys: Sequence[str], value: str, cube: bool = False,
+              names: tuple[str, str, str] = ("level", "row_count", "total")) -> DataFrame:
+    """ROLLUP or CUBE counts and totals; ``level`` (grouping id) tells a total from a null key.
+
+    Rows are aggregated by all keys first, so the grouping sets multiply only
+    the groups and not the rows.
+    """
+    level, count, total_name = names
+    base = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(cents(value)).alias("_s"))
+    sets = base.cube(*keys) if cube else base.rollup(*keys)
+    return sets.agg(F.grouping_id().cast("bigint").alias(level), F.sum("_n").alias(count),
+                    (F.sum("_s").cast("double") / 100).alias(total_name))
 
 
 def salted_agg(df: DataFrame, key: str, value: str, salt: Column, salts: int,
@@ -36,9 +56,9 @@ def salted_agg(df: DataFrame, key: str, value: str, salt: Column, salts: int,
     if hot is not None:
         spread = F.when(hot, spread).otherwise(F.lit(0))
     partial = (df.withColumn("_salt", spread).groupBy(key, "_salt")
-               .agg(F.count(F.lit(1)).alias("_n"), F.sum(money(value)).alias("_s")))
+               .agg(F.count(F.lit(1)).alias("_n"), F.sum(cents(value)).alias("_s")))
     return (partial.groupBy(key)
-            .agg(F.sum("_n").alias("row_count"), F.sum("_s").cast("double").alias("total"))
+            .agg(F.sum("_n").alias("row_count"), (F.sum("_s").cast("double") / 100).alias("total"))
             .withColumn("mean", F.col("total") / F.col("row_count")))
 
 

@@ -7,13 +7,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000, source: DataFrame | None = None) -> DataFrame:
     """Hint a broadcast only after counting that ``df`` has at most ``max_rows`` rows.
 
     Beyond that the frame is returned without a hint and Spark plans a shuffle
-    join, whose hot partitions AQE splits.
+    join, whose hot partitions AQE splits.  ``source`` is a frame that is cheaper
+    to count and has at least as many rows, such as the table ``df`` comes from.
     """
-    seen = len(df.select(F.lit(1)).take(max_rows + 1))
+    seen = len((df if source is None else source).select(F.lit(1)).take(max_rows + 1))
     return F.broadcast(df) if seen <= max_rows else df
 
 

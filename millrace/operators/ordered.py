@@ -24,6 +24,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from millrace.session import checkpointed
+
 DEFAULT_BUCKETS = 1024
 _HASH_RANGE = 1 << 31
 _NEGATABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -164,6 +166,7 @@ def ranked_by_value(df: DataFrame, keys: Sequence[str], value: str, descending:
     that fills a third of the table is one row there.
     """
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    counts = checkpointed(counts)  # ranking reads them several times
     order = [(value, descending)]
     ranks = counts
     if rank is not None:

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.geo import ZONE_ID_MAX, ZONE_ID_MIN, CITY_BOX
 from millrace.functions.scalars import not_blank
+from millrace.operators.ordered import shifted
+from millrace.session import checkpointed
 
 
 class QualityError(Exception):
@@ -165,11 +167,10 @@ def reconcile_layers(raw: DataFrame) -> DataFrame:
 def batch_continuity(rows: DataFrame, batch: str, expected_rows: int) -> DataFrame:
     """Per batch id: its rows, the next id, and whether it is followed by a gap or short.
 
-    The window runs over one row per batch, not over the data.
+    The rows are counted once; only one row per batch is put in order.
     """
-    sizes = rows.groupBy(batch).agg(F.count(F.lit(1)).alias("batch_rows"))
-    following = F.lead(batch).over(Window.orderBy(batch))
-    return (sizes.withColumn("next_batch", following)
+    sizes = checkpointed(rows.groupBy(batch).agg(F.count(F.lit(1)).alias("batch_rows")))
+    return (shifted(sizes, [], [(batch, False)], batch, "next_batch", ahead=True)
             .withColumn("gap_after", F.coalesce(F.col("next_batch") != F.col(batch) + 1, F.lit(False)))
             .withColumn("wrong_size", F.col("batch_rows") != expected_rows))
 

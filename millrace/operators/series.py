@@ -6,18 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from millrace.session import checkpointed
+
 
 def time_grid(counts: DataFrame, key: str, bin_col: str, value: str, seconds: int) -> DataFrame:
     """Every (key, bin) from the first to the last bin seen anywhere; gaps are zero.
 
-    ``counts`` has one row per key and bin.  The range comes from a scalar
-    subquery and each key unfolds its own bins, so nothing passes the driver.
+    ``counts`` has one row per key and bin and is computed once: the raw events
+    behind it are scanned a single time.  The range comes from a scalar subquery
+    and each key unfolds its own bins, so nothing passes the driver.
     """
-    first = counts.agg(F.min(bin_col).alias("a")).scalar()
-    last = counts.agg(F.max(bin_col).alias("b")).scalar()
+    counts = checkpointed(counts)
+    ends = counts.agg(F.struct(F.min(bin_col).alias("first"), F.max(bin_col).alias("last")).alias("e")).scalar()
     step = F.make_dt_interval(secs=F.lit(seconds))
     grid = (counts.select(key).distinct()
-            .select(key, F.explode(F.sequence(first, last, step)).alias(bin_col)))
+            .select(key, F.explode(F.sequence(ends["first"], ends["last"], step)).alias(bin_col)))
     return (grid.join(counts, [key, bin_col], "left")
             .select(key, bin_col, F.coalesce(F.col(value), F.lit(0)).cast("double").alias(value)))
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.functions.scalars import floor_to
 from millrace.operators.aggregates import newest_per_key
 from millrace.operators.series import time_grid, with_lags, with_rolling_means
-from millrace.session import cached
+from millrace.session import cached, checkpointed
 
 # Fixed values.
 BIN_SECONDS = 1800
@@ -51,6 +51,7 @@ def with_weather(grid: DataFrame, weather: DataFrame | None) -> DataFrame:
         return grid.withColumns({"rain_mm_h": F.lit(NO_RAIN), "temperature_c": F.lit(USUAL_TEMP_C)})
     hourly = weather.select(F.col("hour_ts").alias("_hour"), F.col("rain_mm").alias("rain_mm_h"),
                             F.col("temp_c").alias("temperature_c"))
+    hourly = checkpointed(hourly)  # one row per hour, read for the median and for the join
     rows = grid.withColumn("_hour", F.date_trunc("hour", "bin")).join(hourly, "_hour", "left").drop("_hour")
     median = rows.agg(F.percentile("temperature_c", 0.5).alias("m")).scalar()
     return rows.withColumns({"rain_mm_h": F.coalesce("rain_mm_h", F.lit(NO_RAIN)),

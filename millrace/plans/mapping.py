@@ -39,7 +39,7 @@ def trips(spark: SparkSession, sf_dir: str, request_date: str | None = None) ->
         (F.col("l_quantity").cast("bigint")
          - F.when(F.col("l_linenumber") == 7, 60).otherwise(0)).alias("_ride"),
         F.col("l_quantity").alias("distance_km"),
-        F.col("l_extendedprice").cast("decimal(18,2)").alias("fare"),
+        F.col("l_extendedprice").alias("fare"),
         F.when(F.col("l_linestatus") == "F", "COMPLETED")
         .when(F.col("l_linestatus") == "O", "CANCELLED").alias("status"),
         F.when(F.col("l_returnflag") == "A", "RIDER_CANCEL")

@@ -8,6 +8,7 @@ from millrace.functions.geo import zone_table
 from millrace.plans import demand, mapping
 from millrace.queries.registry import big, query
 from millrace.queries.views import DRY, PRICED, WINDOWS, ZONES, with_
+from millrace.session import checkpointed
 from millrace.streaming.windows import tumbling_counts
 from millrace.tables import read
 
@@ -19,10 +20,19 @@ def windows(spark, d):
     return demand.sliding_demand_supply(mapping.unified(spark, d), SIZE, SLIDE)
 
 
+def windows_once(spark, d):
+    """The windows (a few rows per zone and hour) computed once, for plans that read them often."""
+    return checkpointed(windows(spark, d))
+
+
 def priced(spark, d):
     return demand.price_windows(windows(spark, d), mapping.weather(spark, d))
 
 
+def priced_once(spark, d):
+    return checkpointed(priced(spark, d))
+
+
 @query("tumbling_counts", """
 SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, event_type, count(*) AS count
 FROM events GROUP BY ALL""")
@@ -44,7 +54,7 @@ SELECT z.zone_id, coalesce(window_end, r + INTERVAL 1 HOUR) AS window_end, coale
        coalesce(drivers_available, 0) AS supply, coalesce(drivers_on_trip, 0) AS on_trip
 FROM zones z CROSS JOIN newest LEFT JOIN current_rows USING (zone_id)""")
 def current_window(spark, d):
-    out = demand.current_zones(windows(spark, d), zone_table(spark), SLIDE)
+    out = demand.current_zones(windows_once(spark, d), zone_table(spark), SLIDE)
     return out.select(big("zone_id").alias("zone_id"), "window_end", "demand", "supply", "on_trip")
 
 
@@ -85,9 +95,9 @@ WHERE rn = 1 AND window_end > (SELECT max(window_end) FROM merged) - INTERVAL 7
 def surge_store_merge(spark, d):
     """A store priced without weather takes in the even hours priced with it."""
     columns = ["zone_id", "window_end", "surge_multiplier", "demand"]
-    w = windows(spark, d)
+    w = windows_once(spark, d)
     store = demand.price_windows(w).select(*columns)
-    rows = priced(spark, d).where(F.hour("window_end") % 2 == 0).select(*columns)
+    rows = demand.price_windows(w, mapping.weather(spark, d)).where(F.hour("window_end") % 2 == 0).select(*columns)
     return demand.merge_store(store, rows).withColumn("zone_id", big("zone_id"))
 
 

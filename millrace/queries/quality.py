@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators import quality
 from millrace.operators.joins import windows_with_events
 from millrace.plans import mapping, transactions, trips
-from millrace.queries.demand import SIZE, SLIDE, windows
+from millrace.queries.demand import SIZE, SLIDE, windows_once
 from millrace.queries.registry import big, query
 from millrace.queries.views import LAKE_VALID, PINGS, REQUESTS, TRANSACTIONS, TRIPS, VALID, WAREHOUSE_VALID, WINDOWS, with_
 from millrace.tables import read
@@ -108,7 +108,7 @@ FROM windows w LEFT JOIN requests r ON r.zone_id = w.zone_id AND r.event_time >=
  AND r.event_time < w.window_end GROUP BY 1, 2, 3""")
 def reconcile_windows(spark, d):
     """Every emitted window beside a recount from the raw requests."""
-    emitted = windows(spark, d).select("zone_id", "window_end", "demand")
+    emitted = windows_once(spark, d).select("zone_id", "window_end", "demand")
     recount = windows_with_events(emitted.select("zone_id", "window_end"), mapping.raw_requests(spark, d), "zone_id",
                                   "window_end", "event_time", SIZE, SLIDE)
     return (emitted.join(recount, ["zone_id", "window_end"])

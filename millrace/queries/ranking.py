@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators.aggregates import mean, newest_per_key, top_by
 from millrace.operators.ordered import numbered, ranked_by_value, running_sum, shifted
 from millrace.plans import demand
-from millrace.queries.demand import priced
+from millrace.queries.demand import priced, priced_once
 from millrace.queries.registry import big, query
 from millrace.queries.views import PRICED, with_
 from millrace.tables import read
@@ -134,5 +134,5 @@ def current_surge(spark, d):
 SELECT zone_id, window_end, surge_multiplier FROM priced
 WHERE zone_id = 7 AND window_end >= (SELECT max(window_end) FROM priced) - INTERVAL 2880 MINUTE""")
 def key_history(spark, d):
-    return (demand.history(priced(spark, d), 7, 2880)
+    return (demand.history(priced_once(spark, d), 7, 2880)
             .select(big("zone_id").alias("zone_id"), "window_end", "surge_multiplier"))

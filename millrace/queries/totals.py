@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators.aggregates import (chunked_lists, mean, money, rank_by_count, salted_agg, total)
+from millrace.operators.aggregates import (chunked_lists, mean, money, rank_by_count, salted_agg, subtotals, total)
 from millrace.plans import logs, mapping, transactions, visits
-from millrace.queries.registry import big, day, query
+from millrace.queries.registry import day, query
 from millrace.queries.views import TRANSACTIONS, with_
 from millrace.tables import read
 
@@ -49,8 +49,8 @@ def conditional_agg(spark, d):
     return (read(spark, d, "lineitem").groupBy(F.date_format("l_shipdate", "yyyy-MM").alias("l_shipmonth"))
             .agg(F.count_if(F.col("l_returnflag") == "R").alias("returned"),
                  F.count_if(F.col("l_quantity") >= 25).alias("large"),
-                 F.sum(F.when(F.col("l_linestatus") == "F", money("l_extendedprice")).otherwise(0))
-                 .cast("double").alias("finished_value")))
+                 total(F.when(F.col("l_linestatus") == "F", F.col("l_extendedprice")).otherwise(0.0))
+                 .alias("finished_value")))
 
 
 @query("group_two_keys", f"""
@@ -64,18 +64,16 @@ def group_two_keys(spark, d):
 SELECT l_returnflag, l_linestatus, CAST(grouping_id(l_returnflag, l_linestatus) AS BIGINT) AS level, count(*) AS row_count,
        {D('l_extendedprice')} AS total_price FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)""")
 def agg_rollup(spark, d):
-    return read(spark, d, "lineitem").rollup("l_returnflag", "l_linestatus").agg(
-        big(F.grouping_id()).alias("level"), F.count(F.lit(1)).alias("row_count"),
-        total("l_extendedprice").alias("total_price"))
+    return subtotals(read(spark, d, "lineitem"), ["l_returnflag", "l_linestatus"], "l_extendedprice",
+                     names=("level", "row_count", "total_price"))
 
 
 @query("agg_cube", f"""
 SELECT l_returnflag, l_linestatus, CAST(grouping_id(l_returnflag, l_linestatus) AS BIGINT) AS level, count(*) AS row_count,
        {D('l_extendedprice')} AS total_price FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus)""")
 def agg_cube(spark, d):
-    return read(spark, d, "lineitem").cube("l_returnflag", "l_linestatus").agg(
-        big(F.grouping_id()).alias("level"), F.count(F.lit(1)).alias("row_count"),
-        total("l_extendedprice").alias("total_price"))
+    return subtotals(read(spark, d, "lineitem"), ["l_returnflag", "l_linestatus"], "l_extendedprice", cube=True,
+                     names=("level", "row_count", "total_price"))
 
 
 @query("rounded_agg", """

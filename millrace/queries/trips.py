@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from millrace.functions.geo import zone_table
 from millrace.operators.quality import apply_rules, lake_trip_rules, trip_rules
 from millrace.plans import demand, mapping, trips
-from millrace.queries.demand import priced
+from millrace.queries.demand import priced, priced_once
 from millrace.queries.registry import big, day, query
 from millrace.queries.views import LAKE_VALID, PINGS, PRICED, VALID, ZONES, with_
+from millrace.session import checkpointed
 
 
 def valid(spark, d, rules=None):
@@ -97,7 +98,7 @@ def driver_payout(spark, d):
     rows = valid(spark, d)
     busy = (rows.groupBy(F.date_trunc("hour", "request_time").alias("hour_ts"))
             .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= 3).select("hour_ts"))
-    return trips.driver_payout(rows, F.date_trunc("quarter", "request_time"), busy,
+    return trips.driver_payout(rows, F.date_trunc("quarter", "request_time"), checkpointed(busy),
                                trips.PayoutRule(online_minutes=400.0))
 
 
@@ -124,7 +125,7 @@ SELECT z.zone_id, zone_name, kind, latitude, longitude, demand_weight, requests,
        coalesce(l.surge_multiplier, 1) AS surge_multiplier, coalesce(l.ratio, CAST(1.1 AS DOUBLE)) AS ratio
 FROM zones z LEFT JOIN t USING (zone_id) LEFT JOIN latest l USING (zone_id)""")
 def zone_overview(spark, d):
-    rows = priced(spark, d)
+    rows = priced_once(spark, d)
     newest = rows.agg(F.max("window_end").alias("m")).scalar()
     latest = rows.where(F.col("window_end") == newest).withColumn("supply", F.col("drivers_available"))
     out = trips.zone_overview(zone_table(spark), trips.zone_hour_kpis(valid(spark, d)), latest)

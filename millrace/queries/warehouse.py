@@ -40,7 +40,8 @@ def zones(spark, d):
 
 
 def fact(spark, d, request_date=None):
-    return warehouse.fact_trips(valid(spark, d, request_date), warehouse.dim_driver(drivers(spark, d)))
+    people = drivers(spark, d)
+    return warehouse.fact_trips(valid(spark, d, request_date), warehouse.dim_driver(people), driver_source=people)
 
 
 _DRIVERS = """

@@ -24,6 +24,8 @@ RUNTIME_CONF = {
 
 STATIC_CONF = {
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+    # Drop checkpoint files once nothing refers to them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
@@ -67,6 +69,18 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared folder, its lineage cut.
+
+    For small reduced tables that a plan reads several times: without it every
+    use would scan the raw data again.  The files survive lost executors.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint()
+
+
 @contextmanager
 def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
     """Persist ``df`` for the block and always release it."""

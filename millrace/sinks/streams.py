@@ -72,7 +72,7 @@ def json_batch(path: str, key: str) -> BatchWriter:
     return write
 
 
-def fan_out(*writers: BatchWriter, prepare: Callable[[DataFrame, int], DataFrame | None] | None = None) -> BatchWriter:
+def fan_out(*writers: BatchWriter, prepare: Callable[[DataFrame, int], DataFrame] | None = None) -> BatchWriter:
     """Prepare a batch once, hold it, and hand it to every writer in order.
 
     An error in any writer fails the batch; Spark then replays it from the checkpoint.
@@ -80,12 +80,12 @@ def fan_out(*writers: BatchWriter, prepare: Callable[[DataFrame, int], DataFrame
     from millrace.session import cached
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        rows = prepare(batch, batch_id) if prepare else batch
-        if rows is None:
-            return
-        with cached(rows) as held:
-            for writer in writers:
-                writer(held, batch_id)
+        # Held, because every further use would run the stateful stream plan again.
+        with cached(batch) as held:
+            if held.isEmpty():
+                return
+            rows = prepare(held, batch_id) if prepare else held
+            with cached(rows) as ready:
+                for writer in writers:
+                    writer(ready, batch_id)
     return write
