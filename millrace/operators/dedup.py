@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.operators.aggregates import newest_per_key
+from millrace.operators.joins import broadcast_if_small
+from millrace.session import checkpointed
 
 
 def union_events(requests: DataFrame, pings: DataFrame) -> DataFrame:
@@ -35,13 +37,21 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
 
 def upsert(current: DataFrame, changes: DataFrame, key: str, modified: str,
            tiebreak: Sequence[Column] = ()) -> DataFrame:
-    """Merge changed rows into a table: the row modified last wins.
+    """Merge changed rows into a table with one row per key: the row modified last wins.
 
-    A change replaces a current row of the same time.
+    A change replaces a current row of the same time.  The changes are reduced to
+    one row per key and computed once; while they are small they are broadcast,
+    so the table is read but never shuffled.
     """
-    both = (current.withColumn("_change", F.lit(0))
-            .unionByName(changes.withColumn("_change", F.lit(1))))
-    return dedup_latest(both, [key], [F.desc(modified), F.desc("_change"), *tiebreak]).drop("_change")
+    best = checkpointed(dedup_latest(changes.select(*current.columns), [key], [F.desc(modified), *tiebreak]))
+    others = [c for c in current.columns if c != key]
+    new = F.struct(*others).alias("_new")
+    paired = current.join(broadcast_if_small(best.select(key, new)), key, "left")
+    replace = F.col("_new").isNotNull() & (F.col(modified).isNull() | (F.col(f"_new.{modified}") >= F.col(modified)))
+    kept = paired.select(key, *[F.when(replace, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in others])
+    known = current.select(key).join(broadcast_if_small(best.select(key)), key, "left_semi")
+    added = best.join(known.distinct(), key, "left_anti")
+    return kept.unionByName(added).select(*current.columns)
 
 
 def changed_since(df: DataFrame, modified: str, high_water: object) -> DataFrame:

@@ -4,15 +4,18 @@ A plain ``Window.partitionBy(key)`` sends all rows of a key to one task.  Here
 a group is first cut along its sort order into buckets, so a window runs on
 (key, bucket) and a small table of per-bucket totals supplies what came before:
 
-1. About ``buckets`` rows of the whole input become cut points.  They are drawn
-   by a hash of the row's key and order columns, so every task that recomputes
-   them gets the same ones, and a group with a third of all rows gets a third
-   of the cuts.  Their number is set by ``buckets``, not by the data, which is
-   the proof that they may be broadcast.
+1. Some rows of the input become cut points, one in ROWS_PER_BUCKET but never
+   more than about MAX_BUCKETS.  They are drawn by a hash of the row's key and
+   order columns, so every task that recomputes them gets the same ones, and a
+   group with a third of all rows gets a third of the cuts.  MAX_BUCKETS is the
+   proof that they may be broadcast.
 2. Each row finds its bucket by binary search among the cuts of its group.
 3. The local result per (key, bucket) is shifted by the totals of the earlier
    buckets of the key.  Only rows in a bucket after the first need the shift, so
-   that table too has at most about ``buckets`` rows.
+   that table has no more rows than there are cuts.
+
+The input is read three times (cut points, totals, rows), narrow each time; give
+a table or a checkpointed frame, not an expensive plan.
 
 The order must be unique within a group (name a tiebreak), except in
 ``ranked_by_value``, where equal values are meant to share a rank.
@@ -26,7 +29,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from millrace.session import checkpointed
 
-DEFAULT_BUCKETS = 1024
+ROWS_PER_BUCKET = 2_000_000
+MIN_BUCKETS, MAX_BUCKETS = 16, 100_000
 _HASH_RANGE = 1 << 31
 _NEGATABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
@@ -69,13 +73,19 @@ def _same(left: str, right: str, names: Sequence[str]) -> Column:
 
 
 def cut_by_order(df: DataFrame, keys: Sequence[str], order: Order,
-                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """``df`` plus ``_bucket``: its place along the order of its group."""
+                 buckets: int | None = None) -> DataFrame:
+    """``df`` plus ``_bucket``: its place along the order of its group.
+
+    ``buckets`` sets the expected number of cuts instead of the row count.
+    """
+    if buckets is not None and not 1 <= buckets <= MAX_BUCKETS:
+        raise ValueError(f"buckets must be between 1 and {MAX_BUCKETS}")
     keyed = df.withColumn("_sort", _sort_key(df, order))
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    share = F.pmod(F.xxhash64(*keys, "_sort"), F.lit(_HASH_RANGE))
-    drawn = (keyed.select(*keys, "_sort")
-             .where(share * total < F.lit(_HASH_RANGE) * F.lit(buckets)).distinct())
+    total = df.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
+    wanted = (F.lit(float(buckets)) if buckets is not None else
+              F.least(F.greatest(total / ROWS_PER_BUCKET, F.lit(float(MIN_BUCKETS))), F.lit(float(MAX_BUCKETS))))
+    share = F.pmod(F.xxhash64(*keys, "_sort"), F.lit(_HASH_RANGE)).cast("double") / _HASH_RANGE
+    drawn = keyed.select(*keys, "_sort").where(share * total < wanted).distinct()
     if keys:
         cuts = drawn.groupBy(*keys).agg(F.sort_array(F.collect_list("_sort")).alias("_cuts"))
         placed = (keyed.alias("l").join(F.broadcast(cuts.alias("r")), _same("l", "r", keys), "left")
@@ -84,7 +94,7 @@ def cut_by_order(df: DataFrame, keys: Sequence[str], order: Order,
         cuts = drawn.agg(F.sort_array(F.collect_list("_sort")).alias("_cuts"))
         placed = keyed.withColumn("_cuts", cuts.scalar())
     # Binary search: count the cuts at or below the row, highest power of two first.
-    steps = [1 << p for p in range((4 * buckets).bit_length(), -1, -1)]
+    steps = [1 << p for p in range(MAX_BUCKETS.bit_length(), -1, -1)]
     bucket = F.aggregate(
         F.array(*[F.lit(s) for s in steps]), F.lit(0),
         lambda at, step: F.when(F.try_element_at(F.col("_cuts"), at + step) <= F.col("_sort"),
@@ -108,7 +118,7 @@ def _attach(rows: DataFrame, offsets: DataFrame, keys: Sequence[str], extra: Seq
 
 
 def numbered(df: DataFrame, keys: Sequence[str], order: Order, name: str = "row_number",
-             buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+             buckets: int | None = None) -> DataFrame:
     """Row number per group, from 1; ``keys`` may be empty for the whole table."""
     cut = cut_by_order(df, keys, order, buckets)
     local = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(*_order_by(order)))
@@ -120,7 +130,7 @@ def numbered(df: DataFrame, keys: Sequence[str], order: Order, name: str = "row_
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Order, value: str, name: str,
-                buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                buckets: int | None = None) -> DataFrame:
     """Sum of ``value`` from the first row of the group to this one."""
     cut = cut_by_order(df, keys, order, buckets)
     w = (Window.partitionBy(*keys, "_bucket").orderBy(*_order_by(order))
@@ -135,7 +145,7 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Order, value: str, na
 
 
 def shifted(df: DataFrame, keys: Sequence[str], order: Order, value: str, name: str,
-            ahead: bool = False, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+            ahead: bool = False, buckets: int | None = None) -> DataFrame:
     """Value of the previous row (``ahead=False``) or next row of the group."""
     cut = cut_by_order(df, keys, order, buckets)
     w = Window.partitionBy(*keys, "_bucket").orderBy(*_order_by(order))
@@ -158,7 +168,7 @@ def shifted(df: DataFrame, keys: Sequence[str], order: Order, value: str, name:
 
 def ranked_by_value(df: DataFrame, keys: Sequence[str], value: str, descending: bool = True,
                     rank: str | None = "rank", dense_rank: str | None = None,
-                    buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                    buckets: int | None = None) -> DataFrame:
     """SQL ``rank`` / ``dense_rank`` by ``value``, where ties share a rank.
 
     Ranks depend only on how often each value occurs, so the values are counted

@@ -42,43 +42,57 @@ def with_rolling_means(df: DataFrame, key: str, order: str, value: str, sizes: d
 
 def step_limited(df: DataFrame, key: str, time: str, target: str, name: str,
                  step: Callable[[Column, Column], Column], lookback_seconds: int,
-                 low: float, high: float, chunk_seconds: int = 86400) -> DataFrame:
+                 low: float, high: float, chunk_seconds: int = 86400, places: int = 2) -> DataFrame:
     """Each row moves from the previous *output* of its key towards ``target``.
 
-    ``step(target, previous)`` gives the output; ``previous`` is null on a key's
-    first row and after a gap of more than ``lookback_seconds``.  The frame has
-    one row per key and time step, never raw events.
-
-    The recurrence looks sequential, but ``step`` never lets two starting values
-    cross, so time can be cut into chunks: a chunk is folded from the lowest and
-    from the highest possible value, and where both end on the same output that
-    output does not depend on the past.  Such a chunk settles the start of the
-    next one, and everything between two settled ends is folded on its own.  A
-    chunk that does not settle is simply folded together with the next.
+    ``step(target, previous)`` gives the output, between ``low`` and ``high`` and
+    rounded to ``places``; ``previous`` is null on a key's first row and after a
+    gap of more than ``lookback_seconds``.  The frame has one row per key and
+    time step, never raw events.
+
+    The recurrence looks sequential, but time is cut into chunks that are folded
+    side by side:
+
+    * A chunk is folded from the lowest and from the highest value.  ``step``
+      never lets two starting values cross, so where both end on one output that
+      is the end of the chunk whatever came before.
+    * Otherwise the chunk is folded from every value on the rounding grid, which
+      gives its end as a table of its start.
+    * One short pass per key over the chunk ends, one entry per chunk, finds every
+      chunk's start, and each chunk is folded once more from there.
     """
     w = Window.partitionBy(key).orderBy(time)
     gap = F.unix_timestamp(time) - F.unix_timestamp(F.lag(time).over(w))
     rows = df.select(key, time, target, F.coalesce(gap > lookback_seconds, F.lit(True)).alias("_fresh"),
                      F.floor(F.unix_timestamp(time) / chunk_seconds).alias("_chunk"))
-    chunks = (rows.groupBy(key, "_chunk")
-              .agg(F.sort_array(F.collect_list(F.struct(time, target, "_fresh"))).alias("_rows")))
-
-    def end_from(start: float) -> Column:
-        return F.aggregate("_rows", F.lit(float(start)),
-                           lambda at, r: step(r[target], F.when(~r["_fresh"], at)))
-
-    settled = F.col("_low") == F.col("_high")
-    before = (Window.partitionBy(key).orderBy("_chunk")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    parts = (chunks.withColumn("_low", end_from(low)).withColumn("_high", end_from(high))
-             .withColumn("_part", F.coalesce(F.count_if(settled).over(before), F.lit(0)))
-             .withColumn("_entry", F.last(F.when(settled, F.col("_low")), ignorenulls=True).over(before))
-             .groupBy(key, "_part", "_entry")
-             .agg(F.flatten(F.sort_array(F.collect_list("_rows"))).alias("_rows")))
+    scale = 10 ** places
+    first, last = round(low * scale), round(high * scale)
+
+    def end_from(start: Column) -> Column:
+        return F.aggregate("_rows", start, lambda at, r: step(r[target], F.when(~r["_fresh"], at)))
+
+    table = F.transform(F.sequence(F.lit(first), F.lit(last)), lambda s: end_from(s.cast("double") / scale))
+    chunks = checkpointed(
+        rows.groupBy(key, "_chunk").agg(F.sort_array(F.collect_list(F.struct(time, target, "_fresh"))).alias("_rows"))
+        .withColumn("_end", end_from(F.lit(float(low))))
+        .withColumn("_ends", F.when(F.col("_end") != end_from(F.lit(float(high))), table)))
+
+    def end_of(link: Column, start: Column) -> Column:
+        place = (F.rint(start * scale) - first + 1).cast("int")
+        return F.when(link["_ends"].isNull(), link["_end"]).otherwise(F.element_at(link["_ends"], place))
+
+    # A key's first chunk begins afresh, so its start does not matter.
+    starts = F.aggregate("_links", F.array(F.lit(None).cast("double")),
+                         lambda done, link: F.concat(done, F.array(end_of(link, F.element_at(done, -1)))))
+    chain = (chunks.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_chunk", "_end", "_ends"))).alias("_links"))
+             .select(key, F.explode(F.arrays_zip(F.col("_links._chunk").alias("c"),
+                                                 F.slice(starts, F.lit(1), F.size("_links")).alias("s"))).alias("_z"))
+             .select(key, F.col("_z.c").alias("_chunk"), F.col("_z.s").alias("_start")))
     outputs = F.aggregate(
-        "_rows", F.array("_entry"),
+        "_rows", F.array("_start"),
         lambda done, r: F.concat(done, F.array(step(r[target], F.when(~r["_fresh"], F.element_at(done, -1))))))
-    outputs = F.slice(outputs, F.lit(2), F.size("_rows"))
-    return (parts.select(key, F.explode(F.arrays_zip(F.col("_rows").alias("r"), outputs.alias("o"))).alias("_z"))
+    return (chunks.join(chain, [key, "_chunk"])
+            .select(key, F.explode(F.arrays_zip(F.col("_rows").alias("r"),
+                                                F.slice(outputs, F.lit(2), F.size("_rows")).alias("o"))).alias("_z"))
             .select(key, F.col(f"_z.r.{time}").alias(time), F.col(f"_z.r.{target}").alias(target),
                     F.col("_z.o").alias(name)))

@@ -86,10 +86,13 @@ def price_windows(windows: DataFrame, weather: DataFrame | None = None) -> DataF
 def smooth_windows(priced_rows: DataFrame, slide_seconds: int = 60, key: str = "zone_id",
                    time: str = "window_end", target: str = "surge_multiplier",
                    name: str = "smoothed") -> DataFrame:
-    """Multipliers that move at most one step from the one stored before."""
+    """Multipliers that move at most one step from the one stored before.
+
+    Chunks of 1440 steps (a day of minutes) nearly always settle.
+    """
     return step_limited(priced_rows, key, time, target, name, smooth_step,
                         lookback_seconds=LOOKBACK_STEPS * slide_seconds,
-                        low=LOWEST_MULTIPLIER, high=MULTIPLIER_CAP)
+                        low=LOWEST_MULTIPLIER, high=MULTIPLIER_CAP, chunk_seconds=1440 * slide_seconds)
 
 
 def with_latest_weather(rows: DataFrame, readings: DataFrame) -> DataFrame:
@@ -100,7 +103,7 @@ def merge_store(store: DataFrame, rows: DataFrame, ttl_days: int = STORE_TTL_DAY
                 now: Column | None = None) -> DataFrame:
     """Upsert by zone and minute; rows older than ``ttl_days`` disappear.
 
-    Both sides have zone_id, window_end and value columns.  ``now`` defaults to
+    Both sides have zone_id, window_end and value columns; the store has one row per key.  ``now`` defaults to
     the newest minute of the merged rows.
     """
     def keyed(df: DataFrame) -> DataFrame:
@@ -108,7 +111,7 @@ def merge_store(store: DataFrame, rows: DataFrame, ttl_days: int = STORE_TTL_DAY
 
     merged = upsert(keyed(store), keyed(rows), "row_key", "window_end")
     if now is None:
-        now = merged.agg(F.max("window_end").alias("m")).scalar()
+        now = F.greatest(*[df.agg(F.max("window_end").alias("m")).scalar() for df in (store, rows)])
     return merged.where(F.col("window_end") > now - F.make_dt_interval(days=F.lit(ttl_days)))
 
 

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from millrace.functions.geo import zone_table
 from millrace.operators.quality import apply_rules, lake_trip_rules, trip_rules
 from millrace.plans import demand, mapping, trips
-from millrace.queries.demand import priced, priced_once
+from millrace.queries.demand import priced, priced_once, windows
 from millrace.queries.registry import big, day, query
-from millrace.queries.views import LAKE_VALID, PINGS, PRICED, VALID, ZONES, with_
+from millrace.queries.views import LAKE_VALID, PINGS, PRICED, VALID, WINDOWS, ZONES, with_
 from millrace.session import checkpointed
 
 
@@ -102,15 +102,17 @@ def driver_payout(spark, d):
                                trips.PayoutRule(online_minutes=400.0))
 
 
-@query("kpi_summary", with_(VALID) + """
+@query("kpi_summary", with_(VALID, WINDOWS) + """
 , s AS (SELECT count(*) FILTER (status = 'COMPLETED') AS n, count(*) FILTER (status = 'CANCELLED') / count(*) AS cancel,
                avg(epoch(pickup_time - request_time) / 60) FILTER (status = 'COMPLETED') AS eta,
                CAST(sum(fare) FILTER (status = 'COMPLETED') AS DOUBLE) AS revenue,
                sum(distance_km) FILTER (status = 'COMPLETED') AS km FROM valid)
 SELECT n AS completed_trips, round_even(cancel, 4) AS cancel_rate, round_even(eta, 2) AS avg_rider_eta_min,
-       eta < 4.5 AS eta_target_met, revenue AS revenue_inr, round_even(revenue / km, 2) AS revenue_per_km_inr FROM s WHERE n > 0""")
+       eta < 4.5 AS eta_target_met, revenue AS revenue_inr, round_even(revenue / km, 2) AS revenue_per_km_inr,
+       (SELECT round_even(sum(drivers_on_trip) / sum(drivers_available + drivers_on_trip), 4) FROM windows) AS driver_utilisation
+FROM s WHERE n > 0""")
 def kpi_summary(spark, d):
-    return trips.kpi_summary(valid(spark, d))
+    return trips.kpi_summary(valid(spark, d), windows=windows(spark, d))
 
 
 @query("zone_overview", with_(VALID, _KPIS, PRICED, ZONES) + """

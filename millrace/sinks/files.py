@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 # A report for people fits in one file; anything larger stays partitioned.
-REPORT_ROWS = 1_000_000
+REPORT_ROWS = 100_000
 
 
 def report_csv(df: DataFrame, path: str, max_rows: int = REPORT_ROWS) -> None:
