@@ -86,21 +86,22 @@ def cut_by_order(df: DataFrame, keys: Sequence[str], order: Order,
               F.least(F.greatest(total / ROWS_PER_BUCKET, F.lit(float(MIN_BUCKETS))), F.lit(float(MAX_BUCKETS))))
     share = F.pmod(F.xxhash64(*keys, "_sort"), F.lit(_HASH_RANGE)).cast("double") / _HASH_RANGE
     drawn = keyed.select(*keys, "_sort").where(share * total < wanted).distinct()
+    # The steps of a binary search among the cuts, only as many as a group needs.
+    powers = F.array(*[F.lit(1 << p) for p in range(MAX_BUCKETS.bit_length(), -1, -1)])
+    search = [F.col("_cuts"), F.filter(powers, lambda step: step <= F.size("_cuts")).alias("_steps")]
     if keys:
-        cuts = drawn.groupBy(*keys).agg(F.sort_array(F.collect_list("_sort")).alias("_cuts"))
+        cuts = drawn.groupBy(*keys).agg(F.sort_array(F.collect_list("_sort")).alias("_cuts")).select(*keys, *search)
         placed = (keyed.alias("l").join(F.broadcast(cuts.alias("r")), _same("l", "r", keys), "left")
-                  .select("l.*", "r._cuts"))
+                  .select("l.*", "r._cuts", "r._steps"))
     else:
-        cuts = drawn.agg(F.sort_array(F.collect_list("_sort")).alias("_cuts"))
-        placed = keyed.withColumn("_cuts", cuts.scalar())
-    # Binary search: count the cuts at or below the row, highest power of two first.
-    steps = [1 << p for p in range(MAX_BUCKETS.bit_length(), -1, -1)]
+        cuts = drawn.agg(F.sort_array(F.collect_list("_sort")).alias("_cuts")).select(F.struct(*search).alias("c"))
+        placed = keyed.withColumn("_c", cuts.scalar()).select("*", "_c._cuts", "_c._steps").drop("_c")
+    # Count the cuts at or below the row, highest power of two first.
     bucket = F.aggregate(
-        F.array(*[F.lit(s) for s in steps]), F.lit(0),
+        "_steps", F.lit(0),
         lambda at, step: F.when(F.try_element_at(F.col("_cuts"), at + step) <= F.col("_sort"),
                                 at + step).otherwise(at))
-    return (placed.withColumn("_bucket", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(bucket))
-            .drop("_cuts", "_sort"))
+    return placed.withColumn("_bucket", F.coalesce(bucket, F.lit(0))).drop("_cuts", "_steps", "_sort")
 
 
 def _earlier(per_bucket: DataFrame, keys: Sequence[str], sums: dict[str, str]) -> DataFrame:
