@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.functions import udfs
 from millrace.functions.bands import (experience_band, grade_band, joint_grade, risk_band, salary_band)
 from millrace.operators.aggregates import total
-from millrace.operators.dedup import changed_since, dedup_latest, upsert
+from millrace.operators.dedup import dedup_latest, upsert
 from millrace.operators.layout import partition_profile
 from millrace.plans import mapping
 from millrace.queries.registry import big, query

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators.aggregates import (chunked_lists, mean, money, rank_by_count, salted_agg, subtotals, total)
 from millrace.plans import logs, mapping, transactions, visits
 from millrace.queries.registry import day, query
-from millrace.queries.views import TRANSACTIONS, with_
+from millrace.queries.views import TRANSACTIONS
 from millrace.tables import read
 
 
