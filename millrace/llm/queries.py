@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import pack, simhash
+from millrace.llm import langid, pack, secret_scan, simhash
 from millrace.llm.common import table
 
 QUERIES: dict = {}
@@ -25,7 +25,31 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.drop("doc_row")
 
 
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.filter(~langid.held_out()))
+    return langid.predict(docs, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score",
+                                              "cosine", "rejected")
+
+
 @query
 def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
+
+
+@query
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    base = [r.kind for r in secret_scan.BASE]
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    own = F.filter("spans", lambda s: s["kind"].isin(base))
+    return found.select("doc_id", *map(count, base), F.sha2(joined(own), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"))
