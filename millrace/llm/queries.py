@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import langid, pack, secret_scan, simhash
+from millrace.llm import langid, minhash, pack, quality, secret_scan, simhash
 from millrace.llm.common import table
 
 QUERIES: dict = {}
@@ -33,6 +33,18 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               "cosine", "rejected")
 
 
+@query
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
+@query
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
