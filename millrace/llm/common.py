@@ -57,7 +57,7 @@ def crc(column: str | Column) -> Column:
     return F.crc32((F.col(column) if isinstance(column, str) else column).cast("string").cast("binary"))
 
 
-def rank_within(df: DataFrame, group: str, order: str, sizes: DataFrame, rows_per_part: int = 10_000) -> DataFrame:
+def rank_within(df: DataFrame, group: str, order: str, sizes: DataFrame, rows_per_part: int = 1_000) -> DataFrame:
     """Adds ``rank`` (long, from 0): the row's place within its ``group``, without a window over a whole group.
 
     ``sizes`` has one row (group, n) per group, and is small by its meaning (a

@@ -15,8 +15,8 @@ from millrace.llm.common import rank_within, stored
 
 END_ID = 1
 # What a Python worker remembers, about 200 bytes each; a full table starts anew.
-CACHE_WORDS = 250_000
-CACHE_RUNS = 800_000
+CACHE_WORDS = 500_000
+CACHE_RUNS = 900_000
 
 # Texts of these characters only are unchanged by Unicode composition and have one-to-one lower case, so the
 # tokenizer treats each run of letters, each digit and each run of signs on its own.
@@ -76,9 +76,10 @@ class WordTokens:
         plain = {w: _RUN.findall(w.lower()) for w in new if _PLAIN.fullmatch(w) and "<|" not in w}
         runs = list(set().union(*plain.values()).difference(known))
         known.update(zip(runs, self._encode_runs(runs)))
-        words.update((w, b"".join([known[r] for r in part])) for w, part in plain.items())
+        words.update(zip(plain, [known[part[0]] if len(part) == 1 else b"".join(map(known.__getitem__, part))
+                                 for part in plain.values()]))
         words.update((w, self._encode(w).tobytes()) for w in new.difference(plain))
-        return [b"".join([words[w] for w in part]) for part in split]
+        return [b"".join(map(words.__getitem__, part)) for part in split]
 
 
 _LOADED: dict[str, WordTokens] = {}
