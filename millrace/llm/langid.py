@@ -136,8 +136,11 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str
         frequency[bucket] = docs
     idf = (np.log((1 + frequency[-1]) / (1 + frequency[:-1])) + 1).astype(np.float32)
 
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "text")
-    sample = rows.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= sample_rows)
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key")
+    places = (rows.filter(F.col("key").isNotNull()).select("key", "lang")
+              .withColumn("place", F.row_number().over(first)).filter(F.col("place") <= sample_rows))
+    # At most sample_rows keys per language; the texts join them without being shuffled.
+    sample = rows.select("key", "text").join(F.broadcast(places), "key")
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
