@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import langid, minhash, pack, quality, secret_scan, simhash
+from millrace.llm import langid, minhash, mixing, pack, quality, secret_scan, simhash, topk
 from millrace.llm.common import table
 
 QUERIES: dict = {}
@@ -14,6 +14,16 @@ SQL: dict[str, str] = {}
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+# Targets of the mix: three domains of sources, languages within them, sources alike within a language.
+MIX = mixing.Mix((
+    mixing.Level("domain", """CASE WHEN source = 'src0' THEN 'crawl'
+        WHEN source IN ('src1', 'src2', 'src3', 'src4', 'src5', 'src6', 'src7', 'src8', 'src9') THEN 'web'
+        WHEN source LIKE 'src1_' THEN 'books' ELSE 'other' END""", {"crawl": 30, "web": 40, "books": 30}),
+    mixing.Level("language", "lang", {"en": 50, "de": 20, "fr": 20, "es": 10}),
+    mixing.Level("origin", "source"),
+))
+
+
 def query(function):
     QUERIES[function.__name__] = function
     return function
@@ -45,6 +55,20 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_inner_products(table(spark, sf_dir, "embeddings"), 5, "vec_id % 50 = 0")
+
+
+@query
+def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.selected(table(spark, sf_dir, "documents"), MIX)
+
+
+SQL["op5_top_products"] = topk.top_sql(5, "vec_id % 50 = 0")
+SQL["op6_mix"] = mixing.mix_sql(MIX)
+
+
 @query
 def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
