@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import langid, minhash, mixing, pack, quality, secret_scan, simhash, topk
+from millrace.llm import chat, langid, minhash, mixing, pack, quality, secret_scan, simhash, topk
 from millrace.llm.common import table
 
 QUERIES: dict = {}
@@ -89,3 +89,11 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = F.filter("spans", lambda s: s["kind"].isin(base))
     return found.select("doc_id", *map(count, base), F.sha2(joined(own), 256).alias("base_sha256"),
                         joined(F.col("spans")).alias("spans"))
+
+
+@query
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], given.schema)
+    return chat.digests(chat.formatted_turns(chat.canonical(given.unionByName(more), "conv_id"), "conv_id"), "conv_id")
