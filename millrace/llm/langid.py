@@ -69,7 +69,7 @@ class Centroids:
         """(language, score, cosine, rejected) of one whole text."""
         counts = gram_counts(text)
         if counts is None or not self.languages:
-            return UNKNOWN, 0.0, 0.0, True
+            return UNKNOWN, 0.0, 0.0, counts is None
         at = np.flatnonzero(counts)
         cosines = self.vector(counts[at], at) @ self.centroids[at]
         best = np.full(len(self.languages), -1.0)
@@ -114,7 +114,7 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     Document frequencies are counted over all of them.  The centroids are
     fitted on at most ``sample_rows`` documents per language, those with the
     smallest hash of their key; languages are few by their meaning.  Without a
-    labelled row the model knows no language and rejects everything.
+    labelled row the model knows no language and rejects only texts without a letter.
     """
     spark = labelled.sparkSession
     rows = labelled.filter(F.col(lang).isNotNull()).select(

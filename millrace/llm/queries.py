@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import chat, langid, minhash, mixing, pack, quality, secret_scan, simhash, topk
+from millrace.llm import chat, html_text, langid, minhash, mixing, pack, quality, secret_scan, simhash, topk
 from millrace.llm.common import table
 
 QUERIES: dict = {}
@@ -91,6 +91,12 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         joined(F.col("spans")).alias("spans"))
 
 
+@query
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.fit(pages), also=["url"])
+
+
 @query
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
