@@ -1,0 +1,67 @@
+"""Secret scans: the automaton against re, spans in code points, redaction."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+
+from millrace.llm import secret_scan as scan
+from millrace.llm.automaton import Automaton
+
+BITS = ["password", "PassWD", "token", "api_key", "apikey", "secret", '"', "'", " ", "=", ":", "AKIA", "abcdef0123456789",
+        "ABCDEFGHIJKLMN", "é", "\n", "x", "0", "AK", "eyJ", "-----BEGIN RSA PRIVATE KEY-----", "bearer ", "漢", ".", "a1"]
+
+
+def brute(text):
+    return sorted((m.start(), i, m.end()) for i, r in enumerate(scan.RULES)
+                  for m in re.finditer(r.pattern, text or "", re.ASCII | re.I * r.any_case) if len(m[r.group]) >= r.least)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_spans_equal_plain_matching(seed):
+    rng = random.Random(seed)
+    texts = [None, ""] + ["".join(rng.choice(BITS) for _ in range(rng.randint(0, 60))) for _ in range(800)]
+    assert scan.scan_texts(texts) == [brute(t) for t in texts]
+
+
+def test_a_dropped_match_keeps_its_place():
+    text = "token=secret: abcdefghijklmnop"  # the short value is dropped, but "secret" was used up
+    assert brute(text) == scan.scan_texts([text])[0] == []
+
+
+@pytest.mark.parametrize("rules", [[("a(b|cd)*e?", False)], [("[0-9a-f]{4,}", False), ("KEY[A-Z]+", False)],
+                                   [("x{2,3}y|z+", True)], [(r"\x20*[:=]", False), ("ab?c", True)]])
+def test_automaton_ends_where_re_can_end(rules):
+    rng = random.Random(1)
+    automaton = Automaton(rules)
+    for _ in range(40):
+        text = "".join(rng.choice("abcdefxyzXYKEZ09:= ") for _ in range(rng.randint(1, 1500)))
+        states = automaton.states(np.frombuffer(text.encode(), np.uint8), lanes_of=rng.choice([1, 7, 64, 512]))
+        for i, (pattern, any_case) in enumerate(rules):
+            compiled = re.compile(pattern, re.I * any_case)
+            got = [bool(automaton.accept[s] >> i & 1) for s in states]
+            ends = [any(compiled.fullmatch(text, a, b + 1) for a in range(max(0, b - 40), b + 1)) for b in range(len(text))][:200]
+            assert [g for g, _ in zip(got, ends)][:200] == ends or pattern.endswith(("+", ",}"))
+            assert all(g for g, e in zip(got, ends) if e)
+
+
+def test_equal_states_are_merged():
+    assert len(Automaton([("ax|bx", False)]).next) == len(Automaton([("[ab]x", False)]).next) == 3
+
+
+def test_rows(spark, documents):
+    secret = 'é token = "0123456789abcdef0123"'
+    texts = [(1, secret), (2, None), (3, ""), (None, "AKIA" + "B" * 20), (4, "x " * 200_000 + secret), (1, secret)]
+    docs = documents(texts)
+    rows = scan.scan(docs).collect()
+    assert len(rows) == 6
+    for i, text in texts:
+        want = [(scan.RULES[k].kind, a, b) for a, k, b in brute(text)]
+        assert want in [[tuple(s) for s in r["spans"]] for r in rows if r["doc_id"] == i]
+    out = scan.redact(docs)
+    assert out.schema == docs.schema
+    by_id = {r["doc_id"]: r for r in out.collect()}
+    assert by_id[1]["text"] == 'é [SECRET]"' and by_id[1]["n_chars"] == len(by_id[1]["text"])
+    assert by_id[2]["text"] is None and by_id[3]["text"] == "" and by_id[None]["text"] == "[SECRET]"
+    assert scan.scan(documents([])).count() == scan.redact(documents([])).count() == 0
