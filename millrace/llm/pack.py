@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millrace.llm.common import rank_within, stored
 
 END_ID = 1
-# What a Python worker remembers, about 200 bytes each; a full table starts anew.
-CACHE_WORDS = 500_000
-CACHE_RUNS = 900_000
+# What a Python worker remembers, about 200 bytes each: up to twice these numbers, as the ones used since the table
+# was last full and those before them.
+CACHE_WORDS = 100_000
+CACHE_RUNS = 220_000
 
 # Texts of these characters only are unchanged by Unicode composition and have one-to-one lower case, so the
 # tokenizer treats each run of letters, each digit and each run of signs on its own.
@@ -43,42 +44,45 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab()
-        suffix = self.tokenizer.model.end_of_word_suffix
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for word, i in vocabulary.items() if suffix and word.endswith(suffix)]] = True
-        self.words: dict[str, bytes] = {"": b""}
-        self.runs: dict[str, bytes] = {}
-
-    def _encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-
-    def _encode_runs(self, runs: list[str]) -> Iterator[bytes]:
-        """The ids of each run: encoded many at a time, told apart by the ids that end a word."""
-        for at in range(0, len(runs), 200):
-            ids = self._encode(" ".join(part := runs[at:at + 200]))
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(part):
-                flat, ends = ids.tobytes(), (4 * cuts).tolist()
-                yield from (flat[a:b] for a, b in zip([0, *ends], ends))
-            else:
-                yield from (self._encode(run).tobytes() for run in part)
+        self.model = self.tokenizer.model
+        self.bytes_of = [i.to_bytes(4, "little") for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
+        # How the tokenizer writes the bytes of the characters beyond ASCII.
+        wide = [chr(i) for i in range(0xC0, 0x100) if _PLAIN.fullmatch(chr(i))]
+        self.written = str.maketrans({c: self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in wide})
+        self.words, self.old_words = {"": b""}, {"": b""}
+        self.runs, self.old_runs = {}, {}
+
+    def _age(self) -> None:
+        if len(self.words) > CACHE_WORDS:
+            self.words, self.old_words = {"": b""}, self.words
+        if len(self.runs) > CACHE_RUNS:
+            self.runs, self.old_runs = {}, self.runs
+
+    def _encode(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return b"".join(map(self.bytes_of.__getitem__, ids))
+
+    def _encode_run(self, run: str) -> bytes:
+        """The ids of one run of plain characters, which needs no splitting or normalising any more."""
+        tokens = self.model.tokenize(run if run.isascii() else run.translate(self.written))
+        return b"".join([self.bytes_of[t.id] for t in tokens])
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
-        if len(self.words) > CACHE_WORDS:
-            self.words = {"": b""}
-        if len(self.runs) > CACHE_RUNS:
-            self.runs = {}
+        self._age()
         split = [_split(t) for t in texts]
         words, known = self.words, self.runs
         new = set().union(*split).difference(words)
-        plain = {w: _RUN.findall(w.lower()) for w in new if _PLAIN.fullmatch(w) and "<|" not in w}
-        runs = list(set().union(*plain.values()).difference(known))
-        known.update(zip(runs, self._encode_runs(runs)))
+        words.update((w, self.old_words[w]) for w in new.intersection(self.old_words))
+        new.difference_update(self.old_words)
+        plain = {w: [w.lower()] if w.isascii() and w.isalpha() else _RUN.findall(w.lower())
+                 for w in new if _PLAIN.fullmatch(w) and "<|" not in w}
+        runs = set().union(*plain.values()).difference(known)
+        known.update((r, self.old_runs[r]) for r in runs.intersection(self.old_runs))
+        known.update((r, self._encode_run(r)) for r in runs.difference(self.old_runs))
         words.update(zip(plain, [known[part[0]] if len(part) == 1 else b"".join(map(known.__getitem__, part))
                                  for part in plain.values()]))
-        words.update((w, self._encode(w).tobytes()) for w in new.difference(plain))
+        words.update((w, self._encode(w)) for w in new.difference(plain))
         return [b"".join(map(words.__getitem__, part)) for part in split]
 
 
