@@ -1,21 +1,18 @@
 """Ranking, lag/lead and running totals that survive a hot group.
 
 A plain ``Window.partitionBy(key)`` sends all rows of a key to one task.  Here
-a group is first cut along its sort order into buckets, so a window runs on
-(key, bucket) and a small table of per-bucket totals supplies what came before:
-
-1. Some rows of the input become cut points, one in ROWS_PER_BUCKET but never
-   more than about MAX_BUCKETS.  They are drawn by a hash of the row's key and
-   order columns, so every task that recomputes them gets the same ones, and a
-   group with a third of all rows gets a third of the cuts.  MAX_BUCKETS is the
-   proof that they may be broadcast.
-2. Each row finds its bucket by binary search among the cuts of its group.
-3. The local result per (key, bucket) is shifted by the totals of the earlier
-   buckets of the key.  Only rows in a bucket after the first need the shift, so
-   that table has no more rows than there are cuts.
-
-The input is read three times (cut points, totals, rows), narrow each time; give
-a table or a checkpointed frame, not an expensive plan.
+the rows are range-partitioned by the keys *and* the order, so a hot key lies
+over many partitions, and a window runs on (partition, key).  What a key's
+earlier partitions hold is then added:
+
+1. One range shuffle; the local results are checkpointed with the partition
+   they were made in, so that a recomputation cannot move the boundaries.
+2. A boundary between two partitions lies inside at most one key.  Only such
+   keys need totals of their earlier partitions, so that table has fewer rows
+   than there are partitions, and is broadcast by that bound.
+
+Ordering is Spark's own throughout: nulls, NaN, text and extreme numbers sort in
+either direction as they do in a plain window.
 
 The order must be unique within a group (name a tiebreak), except in
 ``ranked_by_value``, where equal values are meant to share a rank.
@@ -23,44 +20,16 @@ The order must be unique within a group (name a tiebreak), except in
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.session import checkpointed
 
-ROWS_PER_BUCKET = 2_000_000
-MIN_BUCKETS, MAX_BUCKETS = 16, 100_000
-_HASH_RANGE = 1 << 31
-_NEGATABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
-
 # (column name, descending)
 Order = Sequence[tuple[str, bool]]
 
 
-def _as_number(df: DataFrame, name: str) -> Column:
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.DateType):
-        return F.unix_date(name)
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(name).cast("timestamp"))
-    return F.col(name)
-
-
-def _sort_key(df: DataFrame, order: Order) -> Column:
-    """One struct that sorts ascending the way ``order`` asks for."""
-    parts = []
-    for i, (name, descending) in enumerate(order):
-        if not descending:
-            parts.append(F.col(name).alias(f"k{i}"))
-            continue
-        if not isinstance(df.schema[name].dataType, _NEGATABLE):
-            raise ValueError(f"descending order needs a number, date or timestamp: {name}")
-        parts.append(F.col(name).isNull().alias(f"n{i}"))  # nulls last, as in ORDER BY .. DESC
-        parts.append((-_as_number(df, name)).alias(f"k{i}"))
-    return F.struct(*parts)
-
-
 def _order_by(order: Order) -> list[Column]:
     return [F.col(name).desc() if descending else F.col(name).asc() for name, descending in order]
 
@@ -72,104 +41,93 @@ def _same(left: str, right: str, names: Sequence[str]) -> Column:
     return condition
 
 
-def cut_by_order(df: DataFrame, keys: Sequence[str], order: Order,
-                 buckets: int | None = None) -> DataFrame:
-    """``df`` plus ``_bucket``: its place along the order of its group.
+def split_by_order(df: DataFrame, keys: Sequence[str], order: Order, local: Mapping[str, Column],
+                   parts: int | None = None) -> DataFrame:
+    """``df`` with ``_part``, the place of its part along the order, ``_at``, its row number inside
+    (part, key), and ``local`` window columns; checkpointed.
 
-    ``buckets`` sets the expected number of cuts instead of the row count.
+    ``parts`` sets the number of partitions; without it there are as many as
+    shuffles have, and small ones are joined at run time.
     """
-    if buckets is not None and not 1 <= buckets <= MAX_BUCKETS:
-        raise ValueError(f"buckets must be between 1 and {MAX_BUCKETS}")
-    keyed = df.withColumn("_sort", _sort_key(df, order))
-    total = df.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
-    wanted = (F.lit(float(buckets)) if buckets is not None else
-              F.least(F.greatest(total / ROWS_PER_BUCKET, F.lit(float(MIN_BUCKETS))), F.lit(float(MAX_BUCKETS))))
-    share = F.pmod(F.xxhash64(*keys, "_sort"), F.lit(_HASH_RANGE)).cast("double") / _HASH_RANGE
-    drawn = keyed.select(*keys, "_sort").where(share * total < wanted).distinct()
-    # The steps of a binary search among the cuts, only as many as a group needs.
-    powers = F.array(*[F.lit(1 << p) for p in range(MAX_BUCKETS.bit_length(), -1, -1)])
-    search = [F.col("_cuts"), F.filter(powers, lambda step: step <= F.size("_cuts")).alias("_steps")]
-    if keys:
-        cuts = drawn.groupBy(*keys).agg(F.sort_array(F.collect_list("_sort")).alias("_cuts")).select(*keys, *search)
-        placed = (keyed.alias("l").join(F.broadcast(cuts.alias("r")), _same("l", "r", keys), "left")
-                  .select("l.*", "r._cuts", "r._steps"))
-    else:
-        cuts = drawn.agg(F.sort_array(F.collect_list("_sort")).alias("_cuts")).select(F.struct(*search).alias("c"))
-        placed = keyed.withColumn("_c", cuts.scalar()).select("*", "_c._cuts", "_c._steps").drop("_c")
-    # Count the cuts at or below the row, highest power of two first.
-    bucket = F.aggregate(
-        "_steps", F.lit(0),
-        lambda at, step: F.when(F.try_element_at(F.col("_cuts"), at + step) <= F.col("_sort"),
-                                at + step).otherwise(at))
-    return placed.withColumn("_bucket", F.coalesce(bucket, F.lit(0))).drop("_cuts", "_steps", "_sort")
-
-
-def _earlier(per_bucket: DataFrame, keys: Sequence[str], sums: dict[str, str]) -> DataFrame:
-    """Totals of the earlier buckets of each key, for buckets after the first."""
-    w = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    return (per_bucket.select(*keys, "_bucket",
-                              *[F.sum(src).over(w).alias(dst) for dst, src in sums.items()])
-            .where(F.col("_bucket") > 0))
+    along = [*(F.col(k).asc() for k in keys), *_order_by(order)]
+    ranged = df.repartitionByRange(parts, *along) if parts else df.repartitionByRange(*along)
+    window = Window.partitionBy("_part", *keys).orderBy(*_order_by(order))
+    return checkpointed(ranged.withColumn("_part", F.spark_partition_id())
+                        .withColumns({"_at": F.row_number().over(window).cast("bigint"),
+                                      **{name: column.over(window) for name, column in local.items()}}))
+
+
+def _crossing(split: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of keys that begin or end a part: all that can lie in more than one."""
+    if not keys:
+        return split
+    key = F.struct(*keys)
+    ends = (split.groupBy("_part").agg(F.array(F.min(key), F.max(key)).alias("k"))
+            .select(F.explode("k").alias("k")).select("k.*").distinct())
+    # At most two keys per part.
+    return split.alias("l").join(F.broadcast(ends.alias("r")), _same("l", "r", keys), "left_semi")
+
+
+def _across(split: DataFrame, keys: Sequence[str], of_part: Mapping[str, Column],
+            over_parts: Mapping[str, Column]) -> DataFrame:
+    """``split`` with what the other parts of a row's key give it, as columns of ``over_parts``.
+
+    ``of_part`` are aggregates of a key's rows in one part, ``over_parts`` are
+    taken from those along the parts of the key.
+    """
+    totals = _crossing(split, keys).groupBy("_part", *keys).agg(*[c.alias(n) for n, c in of_part.items()])
+    found = totals.withColumns({"_parts": F.count(F.lit(1)).over(Window.partitionBy(*keys)), **over_parts})
+    # Every row stands for a boundary inside its key, so there are fewer than two per part.
+    found = found.where(F.col("_parts") > 1).select("_part", *keys, *over_parts)
+    return (split.alias("l").join(F.broadcast(found.alias("r")), _same("l", "r", ["_part", *keys]), "left")
+            .select("l.*", *[F.col(f"r.{n}") for n in over_parts]))
 
 
-def _attach(rows: DataFrame, offsets: DataFrame, keys: Sequence[str], extra: Sequence[str]) -> DataFrame:
-    joined = rows.alias("l").join(F.broadcast(offsets.alias("r")),
-                                  _same("l", "r", [*keys, "_bucket"]), "left")
-    return joined.select("l.*", *[F.col(f"r.{c}").alias(c) for c in extra])
+def _before(column: str, keys: Sequence[str]) -> Column:
+    return F.sum(column).over(Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
 
 
 def numbered(df: DataFrame, keys: Sequence[str], order: Order, name: str = "row_number",
-             buckets: int | None = None) -> DataFrame:
+             parts: int | None = None) -> DataFrame:
     """Row number per group, from 1; ``keys`` may be empty for the whole table."""
-    cut = cut_by_order(df, keys, order, buckets)
-    local = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(*_order_by(order)))
-    sizes = cut.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    out = _attach(cut.withColumn("_local", local.cast("bigint")),
-                  _earlier(sizes, keys, {"_before": "_n"}), keys, ["_before"])
-    return (out.withColumn(name, F.col("_local") + F.coalesce("_before", F.lit(0)))
-            .drop("_bucket", "_local", "_before"))
+    split = split_by_order(df, keys, order, {}, parts)
+    out = _across(split, keys, {"_n": F.count(F.lit(1))}, {"_before": _before("_n", keys)})
+    return out.select(*df.columns, (F.col("_at") + F.coalesce("_before", F.lit(0))).alias(name))
+
+
+def _added(local: Column, before: Column) -> Column:
+    """A running sum and the sum before its part; null only while both are."""
+    return F.when(before.isNull(), local).when(local.isNull(), before).otherwise(local + before)
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Order, value: str, name: str,
-                buckets: int | None = None) -> DataFrame:
-    """Sum of ``value`` from the first row of the group to this one."""
-    cut = cut_by_order(df, keys, order, buckets)
-    w = (Window.partitionBy(*keys, "_bucket").orderBy(*_order_by(order))
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    sums = cut.groupBy(*keys, "_bucket").agg(F.sum(value).alias("_s"))
-    out = _attach(cut.withColumn("_local", F.sum(value).over(w)),
-                  _earlier(sums, keys, {"_before": "_s"}), keys, ["_before"])
-    total = F.when(F.col("_before").isNull(), F.col("_local")) \
-             .when(F.col("_local").isNull(), F.col("_before")) \
-             .otherwise(F.col("_local") + F.col("_before"))
-    return out.withColumn(name, total).drop("_bucket", "_local", "_before")
+                parts: int | None = None) -> DataFrame:
+    """Sum of ``value`` from the first row of the group to this one (the order is unique)."""
+    split = split_by_order(df, keys, order, {"_local": F.sum(value)}, parts)
+    out = _across(split, keys, {"_s": F.sum(value)}, {"_before": _before("_s", keys)})
+    return out.select(*df.columns, _added(F.col("_local"), F.col("_before")).alias(name))
 
 
 def shifted(df: DataFrame, keys: Sequence[str], order: Order, value: str, name: str,
-            ahead: bool = False, buckets: int | None = None) -> DataFrame:
+            ahead: bool = False, parts: int | None = None) -> DataFrame:
     """Value of the previous row (``ahead=False``) or next row of the group."""
-    cut = cut_by_order(df, keys, order, buckets)
-    w = Window.partitionBy(*keys, "_bucket").orderBy(*_order_by(order))
-    local = F.lead(value).over(w) if ahead else F.lag(value).over(w)
-    place = F.row_number().over(w)
-    size = F.count(F.lit(1)).over(Window.partitionBy(*keys, "_bucket"))
-    at_edge = (place == size) if ahead else (place == 1)
-    sort_key = _sort_key(df, order)
-    edge = F.min_by(F.struct(value), sort_key) if ahead else F.max_by(F.struct(value), sort_key)
-    edges = cut.groupBy(*keys, "_bucket").agg(edge.alias("_edge"))
-    wb = Window.partitionBy(*keys).orderBy("_bucket")
-    near = F.lead("_edge").over(wb) if ahead else F.lag("_edge").over(wb)
-    across = (edges.select(*keys, "_bucket", near.alias("_near"))
-              .where(F.col("_near").isNotNull()))
-    out = _attach(cut.withColumn("_local", local).withColumn("_at_edge", at_edge),
-                  across, keys, ["_near"])
-    picked = F.when(F.col("_at_edge"), F.col(f"_near.{value}")).otherwise(F.col("_local"))
-    return out.withColumn(name, picked).drop("_bucket", "_local", "_at_edge", "_near")
+    near = F.lead(value) if ahead else F.lag(value)
+    edge = F.lead(F.lit(False), 1, True) if ahead else F.lag(F.lit(False), 1, True)
+    split = split_by_order(df, keys, order, {"_local": near, "_edge": edge}, parts)
+    held = F.struct(F.col(value).alias("v"))
+    along = Window.partitionBy(*keys).orderBy("_part")
+    if ahead:
+        first, other = F.min_by(held, F.col("_at")), F.lead("_held").over(along)
+    else:
+        first, other = F.max_by(held, F.col("_at")), F.lag("_held").over(along)
+    out = _across(split, keys, {"_held": first}, {"_near": other})
+    picked = F.when(F.col("_edge"), F.col("_near.v")).otherwise(F.col("_local"))
+    return out.select(*df.columns, picked.alias(name))
 
 
 def ranked_by_value(df: DataFrame, keys: Sequence[str], value: str, descending: bool = True,
                     rank: str | None = "rank", dense_rank: str | None = None,
-                    buckets: int | None = None) -> DataFrame:
+                    parts: int | None = None) -> DataFrame:
     """SQL ``rank`` / ``dense_rank`` by ``value``, where ties share a rank.
 
     Ranks depend only on how often each value occurs, so the values are counted
@@ -177,14 +135,12 @@ def ranked_by_value(df: DataFrame, keys: Sequence[str], value: str, descending:
     that fills a third of the table is one row there.
     """
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    counts = checkpointed(counts)  # ranking reads them several times
-    order = [(value, descending)]
-    ranks = counts
-    if rank is not None:
-        ranks = running_sum(ranks, keys, order, "_n", "_upto", buckets)
-        ranks = ranks.withColumn(rank, F.col("_upto") - F.col("_n") + 1).drop("_upto")
-    if dense_rank is not None:
-        ranks = numbered(ranks, keys, order, dense_rank, buckets)
+    split = split_by_order(counts, keys, [(value, descending)], {"_local": F.sum("_n")}, parts)
+    out = _across(split, keys, {"_s": F.sum("_n"), "_k": F.count(F.lit(1))},
+                  {"_rows": _before("_s", keys), "_values": _before("_k", keys)})
+    made = {rank: F.col("_local") - F.col("_n") + 1 + F.coalesce("_rows", F.lit(0)),
+            dense_rank: F.col("_at") + F.coalesce("_values", F.lit(0))}
     names = [c for c in (rank, dense_rank) if c is not None]
+    ranks = out.select(*keys, value, *[made[c].alias(c) for c in names])
     return (df.alias("l").join(ranks.alias("r"), _same("l", "r", [*keys, value]), "inner")
             .select("l.*", *[F.col(f"r.{c}").alias(c) for c in names]))
