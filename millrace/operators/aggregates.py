@@ -32,21 +32,27 @@ def mean(col: Column | str) -> Column:
 
 
 def subtotals(df: DataFrame, keys: Sequence[str], value: str, cube: bool = False,
-              names: tuple[str, str, str] = ("level", "row_count", "total")) -> DataFrame:
+              names: tuple[str, str, str] = ("level", "row_count", "total"), amounts: bool = True) -> DataFrame:
     """ROLLUP or CUBE counts and totals; ``level`` (grouping id) tells a total from a null key.
 
+    ``amounts`` are summed as whole cents, other values as they are.
+
     Rows are aggregated by all keys first, so the grouping sets multiply only
     the groups and not the rows.
     """
     level, count, total_name = names
-    base = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(cents(value)).alias("_s"))
+    base = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(cents(value) if amounts else value).alias("_s"))
     sets = base.cube(*keys) if cube else base.rollup(*keys)
     return sets.agg(F.grouping_id().cast("bigint").alias(level), F.sum("_n").alias(count),
-                    (F.sum("_s").cast("double") / 100).alias(total_name))
+                    _handed_back(F.sum("_s"), amounts).alias(total_name))
+
+
+def _handed_back(added: Column, amounts: bool) -> Column:
+    return added.cast("double") / 100 if amounts else added
 
 
 def salted_agg(df: DataFrame, key: str, value: str, salt: Column, salts: int,
-               hot: Column | None = None) -> DataFrame:
+               hot: Column | None = None, amounts: bool = True) -> DataFrame:
     """Two-phase count / sum / mean per key for a hot key.
 
     Rows for which ``hot`` holds are spread over ``salts`` sub-keys by ``salt``;
@@ -56,9 +62,9 @@ def salted_agg(df: DataFrame, key: str, value: str, salt: Column, salts: int,
     if hot is not None:
         spread = F.when(hot, spread).otherwise(F.lit(0))
     partial = (df.withColumn("_salt", spread).groupBy(key, "_salt")
-               .agg(F.count(F.lit(1)).alias("_n"), F.sum(cents(value)).alias("_s")))
+               .agg(F.count(F.lit(1)).alias("_n"), F.sum(cents(value) if amounts else value).alias("_s")))
     return (partial.groupBy(key)
-            .agg(F.sum("_n").alias("row_count"), (F.sum("_s").cast("double") / 100).alias("total"))
+            .agg(F.sum("_n").alias("row_count"), _handed_back(F.sum("_s"), amounts).alias("total"))
             .withColumn("mean", F.col("total") / F.col("row_count")))
 
 
@@ -75,7 +81,7 @@ def rank_by_count(df: DataFrame, key: str, where: Column | None = None, name: st
 
 def chunked_lists(df: DataFrame, key: str, value: str, order: Sequence[tuple[str, bool]],
                   chunk: int = 1000) -> DataFrame:
-    """All values of a key in order, as lists of at most ``chunk`` values.
+    """All values of a key in order, as lists of at most ``chunk`` values; the contract is rows (key, part, values).
 
     A list per key would put a hot key into one row; here a key simply has as
     many rows (key, part, values) as it needs and no value is lost.

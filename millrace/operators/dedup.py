@@ -7,27 +7,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.operators.aggregates import newest_per_key
-from millrace.operators.joins import broadcast_if_small
-from millrace.session import checkpointed
 
 
-def union_events(requests: DataFrame, pings: DataFrame) -> DataFrame:
-    """Requests and driver pings as one stream with a ``kind`` tag.
+# The unified stream: its kinds, and for each column beyond the common ones how a kind fills it.
+COMMON = ("event_id", "event_time", "zone_id")
+KINDS = {"request": {}, "ping": {"driver_id": F.col, "status": F.upper}}
+EXTRA = ("driver_id", "status")
 
-    Columns that only one side has are null on the other; rows without a zone
-    or a readable time are dropped.  Works on batch and streaming frames.
-    """
-    def timed(df: DataFrame) -> DataFrame:
-        # Streams carry the time as text; batch tables may already have it typed.
-        if dict(df.dtypes)["event_time"] == "string":
-            return df.withColumn("event_time", F.try_to_timestamp("event_time"))
-        return df
 
-    req = timed(requests).select("event_id", "event_time", "zone_id", F.lit("request").alias("kind"))
-    png = timed(pings).select("event_id", "event_time", "zone_id", F.lit("ping").alias("kind"),
-                              "driver_id", F.upper("status").alias("status"))
-    return (req.unionByName(png, allowMissingColumns=True)
-            .where(F.col("zone_id").isNotNull() & F.col("event_time").isNotNull()))
+def _of_kind(df: DataFrame, kind: str) -> DataFrame:
+    """The unified columns of one kind's events, without rows that have no zone or no readable time."""
+    filled = [KINDS[kind][c](c).alias(c) if c in KINDS[kind] else F.lit(None).cast("string").alias(c) for c in EXTRA]
+    # Streams carry the time as text; batch tables may already have it typed.
+    text = dict(df.dtypes)["event_time"] == "string"
+    time = F.try_to_timestamp("event_time") if text else F.col("event_time")
+    whole = df.withColumn("event_time", time).dropna(subset=["event_time", "zone_id"])
+    return whole.select(*COMMON, F.lit(kind).alias("kind"), *filled)
+
+
+def union_events(requests: DataFrame, pings: DataFrame) -> DataFrame:
+    """Requests and driver pings as one stream (or table) with a ``kind`` tag."""
+    return _of_kind(requests, "request").unionAll(_of_kind(pings, "ping"))
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -39,19 +39,14 @@ def upsert(current: DataFrame, changes: DataFrame, key: str, modified: str,
            tiebreak: Sequence[Column] = ()) -> DataFrame:
     """Merge changed rows into a table with one row per key: the row modified last wins.
 
-    A change replaces a current row of the same time.  The changes are reduced to
-    one row per key and computed once; while they are small they are broadcast,
-    so the table is read but never shuffled.
+    A change replaces a current row of the same time.  The changes are reduced
+    to one row per key; one full join then reads either side once.
     """
-    best = checkpointed(dedup_latest(changes.select(*current.columns), [key], [F.desc(modified), *tiebreak]))
-    others = [c for c in current.columns if c != key]
-    new = F.struct(*others).alias("_new")
-    paired = current.join(broadcast_if_small(best.select(key, new)), key, "left")
-    replace = F.col("_new").isNotNull() & (F.col(modified).isNull() | (F.col(f"_new.{modified}") >= F.col(modified)))
-    kept = paired.select(key, *[F.when(replace, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in others])
-    known = current.select(key).join(broadcast_if_small(best.select(key)), key, "left_semi")
-    added = best.join(known.distinct(), key, "left_anti")
-    return kept.unionByName(added).select(*current.columns)
+    best = dedup_latest(changes.select(*current.columns), [key], [F.desc(modified), *tiebreak])
+    old, new = (df.select(key, F.struct(*current.columns).alias(name)) for df, name in ((current, "_old"), (best, "_new")))
+    newer = F.coalesce(F.col(f"_new.{modified}") >= F.col(f"_old.{modified}"), F.col(f"_old.{modified}").isNull())
+    kept = F.when(F.col("_new").isNotNull() & (F.col("_old").isNull() | newer), F.col("_new")).otherwise(F.col("_old"))
+    return old.join(new, key, "full").select(kept.alias("_row")).select("_row.*")
 
 
 def changed_since(df: DataFrame, modified: str, high_water: object) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Joins with defaults, checked broadcasts and hot-key-safe outer joins."""
+"""Joins with defaults, and outer joins that stay balanced when a key is hot."""
 
 from __future__ import annotations
 
@@ -7,40 +7,41 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000, source: DataFrame | None = None) -> DataFrame:
-    """Hint a broadcast only after counting that ``df`` has at most ``max_rows`` rows.
+def _outer(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
+    mine, theirs = ([c for c in side.columns if c not in on] for side in (left, right))
+    return left.join(right, on, how).select(*on, *mine, *theirs)
 
-    Beyond that the frame is returned without a hint and Spark plans a shuffle
-    join, whose hot partitions AQE splits.  ``source`` is a frame that is cheaper
-    to count and has at least as many rows, such as the table ``df`` comes from.
-    """
-    seen = len((df if source is None else source).select(F.lit(1)).take(max_rows + 1))
-    return F.broadcast(df) if seen <= max_rows else df
+
+def hot_keys(df: DataFrame, on: Sequence[str], share: float = 0.01) -> DataFrame:
+    """Keys that hold at least ``share`` of the rows: at most ``1 / share`` of them, whatever the table."""
+    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") >= total * share).select(*on)
 
 
-def hot_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
-    """Outer join that stays balanced when a key is hot on either side.
+def hot_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str,
+                  hot: DataFrame | None = None) -> DataFrame:
+    """Inner or outer join; each side is read once unless ``hot`` keys are given.
 
-    AQE can split a hot partition on both sides of an inner join, but only on
-    the preserved side of an outer join and not at all in a full join.  So the
-    matches come from an inner join and the unmatched rows from anti joins
-    against the distinct keys of the other side.
+    AQE splits a hot partition on both sides of an inner join, but only on the
+    preserved side of an outer join and not at all in a full join.  Where keys
+    were measured hot (``hot_keys``, bounded by its share), their rows go apart:
+    matches by an inner join, the rest by anti joins against the few hot keys
+    that the other side has.
     """
     on = list(on)
-    left_only = [c for c in left.columns if c not in on]
-    right_only = [c for c in right.columns if c not in on]
-    parts = [left.join(right, on, "inner").select(*on, *left_only, *right_only)]
-
-    def unmatched(side: DataFrame, other: DataFrame, own: list[str]) -> DataFrame:
-        rest = side.join(other.select(*on).distinct(), on, "left_anti")
-        return rest.select(*on, *own)
-
-    if how in ("left", "full"):
-        parts.append(unmatched(left, right, left_only))
-    if how in ("right", "full"):
-        parts.append(unmatched(right, left, right_only))
     if how not in ("inner", "left", "right", "full"):
         raise ValueError(f"unknown join type: {how}")
+    if hot is None:
+        return _outer(left, right, on, how)
+    marked = F.broadcast(hot.select(*on).distinct())
+    parts = [_outer(left.join(marked, on, "left_anti"), right.join(marked, on, "left_anti"), on, how)]
+    busy_left, busy_right = (side.join(marked, on, "left_semi") for side in (left, right))
+    parts.append(_outer(busy_left, busy_right, on, "inner"))
+    for side, other, kinds in ((busy_left, busy_right, ("left", "full")), (busy_right, busy_left, ("right", "full"))):
+        if how in kinds:
+            # No more rows than hot keys.
+            parts.append(side.join(F.broadcast(other.select(*on).distinct()), on, "left_anti"))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part, allowMissingColumns=True)
@@ -48,17 +49,17 @@ def hot_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str
 
 
 def lookup(key: Column, names: Mapping[object, object], default: object = "Unknown") -> Column:
-    """Literal map lookup for a handful of keys; a missing or null key gives ``default``."""
-    if len(names) > 200:
-        raise ValueError("use lookup_join for more than 200 keys")
+    """Literal map lookup for keys written in the program; a missing or null key gives ``default``.
+
+    Keys that come from data are a table: use ``lookup_join``.
+    """
     pairs = F.create_map(*[F.lit(x) for kv in names.items() for x in kv])
     return F.coalesce(F.try_element_at(pairs, key), F.lit(default))
 
 
-def lookup_join(df: DataFrame, names: DataFrame, key: str, value: str, default: object,
-                max_rows: int = 100_000) -> DataFrame:
-    """Left join to a keyed table, missing keys filled with ``default``."""
-    return (df.join(broadcast_if_small(names.select(key, value), max_rows), key, "left")
+def lookup_join(df: DataFrame, names: DataFrame, key: str, value: str, default: object) -> DataFrame:
+    """Left join to a keyed table, missing keys filled with ``default``; AQE chooses the join by the table's size."""
+    return (df.join(names.select(key, value), key, "left")
             .withColumn(value, F.coalesce(F.col(value), F.lit(default))))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.operators.aggregates import mean, rank_by_count, share_percent
+from millrace.operators.aggregates import rank_by_count, share_percent
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
@@ -30,7 +30,7 @@ def status_counts(logs: DataFrame, key: str = "status") -> DataFrame:
 
 
 def performance(logs: DataFrame, key: str = "url", time: str = "response_time") -> DataFrame:
-    return (logs.groupBy(key).agg(mean(time).alias("avg_response_time"))
+    return (logs.groupBy(key).agg(F.avg(time).alias("avg_response_time"))
             .orderBy(F.desc("avg_response_time"), key))
 
 

@@ -147,17 +147,23 @@ def json_flatten(spark, d):
     return parsed.select("event_id", "data.*")
 
 
-@query("to_json_publish")
+@query("to_json_publish", """
+SELECT CAST(o_orderkey AS VARCHAR) AS key, o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders""")
 def to_json_publish(spark, d):
+    """Messages of key and JSON value, read back as a consumer would."""
     from millrace.sinks.streams import as_messages
 
     orders = read(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-    return as_messages(orders, "o_orderkey")
+    return as_messages(orders, "o_orderkey").select("key", F.from_json("value", orders.schema).alias("v")).select("key", "v.*")
 
 
-@query("partition_profile")
+@query("partition_profile", """
+SELECT count(*) AS total_rows, true AS in_eight_partitions, true AS largest_below_twice_the_mean FROM lineitem""")
 def partition_profile_query(spark, d):
-    return partition_profile(read(spark, d, "lineitem").repartition(8, "l_orderkey"))
+    """Rows per partition after a repartition by key: all are there, and no partition has twice the mean."""
+    sizes = partition_profile(read(spark, d, "lineitem").repartition(8, "l_orderkey"))
+    return sizes.agg(F.sum("rows").alias("total_rows"), (F.count(F.lit(1)) == 8).alias("in_eight_partitions"),
+                     (F.max("rows") < 2 * F.avg("rows")).alias("largest_below_twice_the_mean"))
 
 
 AMOUNT = "CAST(floor(o_totalprice / 20) AS BIGINT)"

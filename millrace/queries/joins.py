@@ -6,27 +6,25 @@ from pyspark.sql import functions as F
 
 from millrace.functions.geo import zone_table
 from millrace.operators.aggregates import total
-from millrace.operators.joins import broadcast_if_small, hot_safe_join, lookup, lookup_join, with_newest, zero_filled
+from millrace.operators.joins import hot_keys, hot_safe_join, lookup, lookup_join, with_newest, zero_filled
 from millrace.operators.layout import require_columns
 from millrace.plans import billing, mapping
 from millrace.queries.registry import big, query
 from millrace.queries.views import REQUESTS, ZONES, with_
 from millrace.tables import BILLING_RECORD, read
 
-URGENT = "o_orderpriority = '1-URGENT'"
+# Lines stand 100 order keys further on, so that both sides have rows without a match.
+SHIFT = 100
 
 
-def _urgent_orders(spark, d):
-    return read(spark, d, "orders").where(URGENT).select(F.col("o_orderkey").alias("order_key"), "o_totalprice")
+def _sides(spark, d):
+    orders = read(spark, d, "orders").select(F.col("o_orderkey").alias("order_key"), "o_totalprice")
+    lines = read(spark, d, "lineitem").select((F.col("l_orderkey") + SHIFT).alias("order_key"), "l_partkey", "l_quantity")
+    return orders, lines
 
 
-def _returned_lines(spark, d):
-    return (read(spark, d, "lineitem").where(F.col("l_returnflag") == "R")
-            .select(F.col("l_orderkey").alias("order_key"), "l_partkey", "l_quantity"))
-
-
-_SIDES = f"""WITH u AS (SELECT o_orderkey AS order_key, o_totalprice FROM orders WHERE {URGENT}),
-r AS (SELECT l_orderkey AS order_key, l_partkey, l_quantity FROM lineitem WHERE l_returnflag = 'R')
+_SIDES = f"""WITH u AS (SELECT o_orderkey AS order_key, o_totalprice FROM orders),
+r AS (SELECT l_orderkey + {SHIFT} AS order_key, l_partkey, l_quantity FROM lineitem)
 """
 
 
@@ -38,19 +36,32 @@ def join_inner(spark, d):
 
 @query("join_left", _SIDES + "SELECT order_key, o_totalprice, l_partkey, l_quantity FROM u LEFT JOIN r USING (order_key)")
 def join_left(spark, d):
-    return hot_safe_join(_urgent_orders(spark, d), _returned_lines(spark, d), ["order_key"], "left")
+    return hot_safe_join(*_sides(spark, d), ["order_key"], "left")
 
 
 @query("join_right", _SIDES + "SELECT order_key, o_totalprice, l_partkey, l_quantity FROM u RIGHT JOIN r USING (order_key)")
 def join_right(spark, d):
-    return hot_safe_join(_urgent_orders(spark, d), _returned_lines(spark, d), ["order_key"], "right")
+    return hot_safe_join(*_sides(spark, d), ["order_key"], "right")
 
 
 @query("join_full", _SIDES + """
 SELECT coalesce(u.order_key, r.order_key) AS order_key, o_totalprice, l_partkey, l_quantity
 FROM u FULL JOIN r ON u.order_key = r.order_key""")
 def join_full(spark, d):
-    return hot_safe_join(_urgent_orders(spark, d), _returned_lines(spark, d), ["order_key"], "full")
+    return hot_safe_join(*_sides(spark, d), ["order_key"], "full")
+
+
+@query("join_hot_keys", _SIDES + """
+SELECT coalesce(u.status, r.status) AS status, u.n AS orders, r.n AS lines
+FROM (SELECT order_key % 3 AS status, count(*) AS n FROM u GROUP BY 1) u
+FULL JOIN (SELECT order_key % 7 AS status, count(*) AS n FROM r GROUP BY 1) r ON u.status = r.status""")
+def join_hot_keys(spark, d):
+    """A full join in which a few keys hold all rows: they are measured and joined apart."""
+    orders, lines = _sides(spark, d)
+    left = orders.groupBy((F.col("order_key") % 3).alias("status")).agg(F.count(F.lit(1)).alias("orders"))
+    right = lines.groupBy((F.col("order_key") % 7).alias("status")).agg(F.count(F.lit(1)).alias("lines"))
+    hot = hot_keys(lines.select((F.col("order_key") % 7).alias("status")), ["status"])
+    return hot_safe_join(left, right, ["status"], "full", hot)
 
 
 @query("join_anti", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
@@ -61,13 +72,15 @@ def join_anti(spark, d):
 
 
 @query("join_broadcast", """
-SELECT s_suppkey, n_name, r_name FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
+SELECT l_orderkey, l_linenumber, n_name, r_name FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
 def join_broadcast(spark, d):
-    places = (read(spark, d, "nation").join(broadcast_if_small(read(spark, d, "region")),
-                                            F.col("n_regionkey") == F.col("r_regionkey")))
-    return (read(spark, d, "supplier")
-            .join(broadcast_if_small(places), F.col("s_nationkey") == F.col("n_nationkey"))
-            .select("s_suppkey", "n_name", "r_name"))
+    """Every line with its supplier's place; nations and regions are fixed lists, hence the hint."""
+    n, r = read(spark, d, "nation"), read(spark, d, "region")
+    places = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
+    suppliers = read(spark, d, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("n_nationkey"))
+    return (read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey").join(suppliers, "l_suppkey")
+            .join(F.broadcast(places), "n_nationkey").select("l_orderkey", "l_linenumber", "n_name", "r_name"))
 
 
 @query("join_filter_sort", """

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators.aggregates import (chunked_lists, mean, money, rank_by_count, salted_agg, subtotals, total)
+from millrace.operators.aggregates import chunked_lists, counted, mean, money, rank_by_count, salted_agg, subtotals, total
 from millrace.plans import logs, mapping, transactions, visits
 from millrace.queries.registry import day, query
 from millrace.queries.views import TRANSACTIONS
@@ -97,11 +97,13 @@ def distinct_counts(spark, d):
                      F.count_distinct("event_type").alias("pages"))
 
 
-@query("approx_distinct")
+@query("approx_distinct", """
+SELECT event_type, count(DISTINCT user_id) AS users, true AS estimate_within_3_percent FROM events GROUP BY 1""")
 def approx_distinct(spark, d):
-    """Distinct users per event type within about 1%."""
+    """Distinct users per event type, and whether the estimate (1% standard error) is near the exact count."""
+    exact, estimate = F.count_distinct("user_id"), F.approx_count_distinct("user_id", 0.01)
     return read(spark, d, "events").groupBy("event_type").agg(
-        F.approx_count_distinct("user_id", 0.01).alias("users"))
+        exact.alias("users"), (F.abs(estimate - exact) <= exact * 0.03).alias("estimate_within_3_percent"))
 
 
 @query("keyed_sum", f"SELECT l_suppkey, {D('l_extendedprice')} AS total_price FROM lineitem GROUP BY 1")
@@ -131,9 +133,12 @@ def max_row(spark, d):
 SELECT count(*) FILTER (o_totalprice > 200000) AS large_orders, count(*) FILTER (o_orderstatus = 'P') AS pending,
        {D('o_totalprice')} AS total_price FROM orders""")
 def counter_agg(spark, d):
-    return read(spark, d, "orders").agg(
-        F.count_if(F.col("o_totalprice") > 200000).alias("large_orders"),
-        F.count_if(F.col("o_orderstatus") == "P").alias("pending"), total("o_totalprice").alias("total_price"))
+    """Counters that fill beside a job, here the total of all orders."""
+    watched, seen = counted(read(spark, d, "orders"), {"large_orders": F.count_if(F.col("o_totalprice") > 200000),
+                                                       "pending": F.count_if(F.col("o_orderstatus") == "P")})
+    price = watched.agg(total("o_totalprice").alias("total_price")).first()["total_price"]
+    return spark.createDataFrame([(seen.get["large_orders"], seen.get["pending"], price)],
+                                 "large_orders bigint, pending bigint, total_price double")
 
 
 @query("salted_agg", f"""
@@ -183,10 +188,10 @@ def rank_by_key(spark, d):
     return rank_by_count(read(spark, d, "events"), "user_id", where=F.col("event_type") == "error")
 
 
-@query("url_performance", f"SELECT user_id AS url, {D('value')} / count(value) AS avg_response_time FROM events GROUP BY 1")
+@query("url_performance", "SELECT user_id AS url, round(avg(value), 6) AS avg_response_time FROM events GROUP BY 1")
 def url_performance(spark, d):
     rows = read(spark, d, "events").select(F.col("user_id").alias("url"), F.col("value").alias("response_time"))
-    return logs.performance(rows)
+    return logs.performance(rows).withColumn("avg_response_time", F.round("avg_response_time", 6))
 
 
 @query("visit_stats", """

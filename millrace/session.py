@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -69,6 +70,14 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder, deleted when the session ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared folder, its lineage cut.
 

@@ -6,15 +6,12 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-# A report for people fits in one file; anything larger stays partitioned.
-REPORT_ROWS = 100_000
+def report_csv(df: DataFrame, path: str, files: int | None = 1) -> None:
+    """CSV with a header in at most ``files`` files; None leaves the number to the result's partitions.
 
-
-def report_csv(df: DataFrame, path: str, max_rows: int = REPORT_ROWS) -> None:
-    """One CSV file with a header.  A result beyond ``max_rows`` keeps its parts instead,
-    so that no single task ever writes a large table."""
-    small = len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows
-    (df.coalesce(1) if small else df).write.mode("overwrite").option("header", True).csv(path)
+    One file is for reports that are small by their meaning; the caller decides.
+    """
+    (df if files is None else df.coalesce(files)).write.mode("overwrite").option("header", True).csv(path)
 
 
 def partitioned_csv(df: DataFrame, path: str, *columns: str) -> None:

@@ -317,7 +317,7 @@ def test_star_schema(spark, tmp_path):
     assert one_day.first()["n"] == 3
     plan = one_day._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(trip_date" in plan
-    bench = warehouse.bench_query(spark.table("dw.fact_trips"), "bench_q1", "2026-10-02")
+    bench = warehouse.bench_query(spark.table("dw.fact_trips"), "bench_q1", F.col("trip_date") == "2026-10-02")
     assert rows(bench) == [(10, 3)]
     spark.sql("DROP DATABASE dw CASCADE")
 

@@ -53,11 +53,37 @@ def test_departments_without_staff(staff, departments):
     assert rows(departments.join(staff, "dept", "left_anti")) == [(105, "Operations")]
 
 
-def test_broadcast_only_when_small(spark):
-    small, large = spark.range(10), spark.range(1000)
-    assert "broadcast" in layout.plan_text(large.join(joins.broadcast_if_small(small, 10), "id"), "extended").lower()
-    hinted = layout.plan_text(small.join(joins.broadcast_if_small(large, 10), "id"), "extended")
-    assert "ResolvedHint" not in hinted.split("Analyzed")[0] and "strategy=broadcast" not in hinted
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+def test_hot_keys_are_joined_apart(spark, how):
+    left = spark.createDataFrame([(i % 3 if i % 2 else 50 + i, f"l{i}") for i in range(90)] + [(None, "n"), (7, "hot")], "k int, l string")
+    right = spark.createDataFrame([(1, "x"), (1, "y"), (51, "z"), (99, "q"), (None, "w")], "k int, r string")
+    hot = joins.hot_keys(left, ["k"], 0.05).unionByName(spark.createDataFrame([(99,), (7,)], "k int"))
+    assert {r["k"] for r in hot.collect()} == {0, 1, 2, 7, 99}
+    got = joins.hot_safe_join(left, right, ["k"], how, hot)
+    assert rows(got) == rows(left.join(right, "k", how).select(got.columns))
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_a_join_reads_each_side_once(spark, sf, how):
+    orders = spark.read.parquet(f"{sf}/orders.parquet").selectExpr("o_orderkey AS k", "o_totalprice")
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").selectExpr("l_orderkey AS k", "l_quantity")
+    plan = joins.hot_safe_join(orders, lines, ["k"], how)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") == 2
+
+
+def test_the_join_is_chosen_by_size_at_run_time(spark, sf):
+    """A table that is small only after its filter is broadcast, without a hint."""
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").selectExpr("l_orderkey", "l_quantity")
+    names = spark.read.parquet(f"{sf}/orders.parquet").where("o_orderkey % 500 = 0").selectExpr("o_orderkey AS l_orderkey", "o_comment")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        out = joins.lookup_join(lines, names, "l_orderkey", "o_comment", "none")
+        assert "BroadcastHashJoin" not in out._jdf.queryExecution().sparkPlan().toString()
+        out.collect()
+        assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_lookup_fills_missing_and_null(spark):
