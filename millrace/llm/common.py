@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.session import shared_dir
+from millrace.session import shared_folder
 from millrace.tables import read
 
 # Rows per Arrow batch: texts are long, so a batch of the default 10,000 rows could take gigabytes.
@@ -28,10 +27,8 @@ def stored(df: DataFrame) -> DataFrame:
     them; it is deleted when the session ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/millrace-{uuid.uuid4().hex}"
+    path = shared_folder(spark, "stored")
     df.write.parquet(path)
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
     return spark.read.schema(df.schema).parquet(path)
 
 
