@@ -11,6 +11,8 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from millrace.llm.common import mapped
+
 # ---------------------------------------------------------------- layouts
 
 
@@ -164,7 +166,7 @@ def canonical_json(records: DataFrame, key: str, column: str) -> DataFrame:
                  *(pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.string(), pa.string())))],
                 ["key", "layout", "turn", "role", "text"])
 
-    return source.mapInArrow(run, f"key {kind}, layout string, turn bigint, role string, text string") \
+    return mapped(source, run, f"key {kind}, layout string, turn bigint, role string, text string") \
         .withColumnRenamed("key", key)
 
 
@@ -237,7 +239,7 @@ def formatted_turns(turns: DataFrame, key: str) -> DataFrame:
                 [batch.column("key"), pa.array(texts, pa.string()), pa.array(starts, pa.int64()),
                  pa.array(ends, pa.int64())], ["key", "formatted", "loss_start", "loss_end"])
 
-    return ordered.mapInArrow(run, f"key {kind}, formatted string, loss_start bigint, loss_end bigint") \
+    return mapped(ordered, run, f"key {kind}, formatted string, loss_start bigint, loss_end bigint") \
         .withColumnRenamed("key", key)
 
 
@@ -257,7 +259,7 @@ def conversations(formatted: DataFrame, key: str) -> DataFrame:
         yield from _grouped(batches, lambda name: [name, [], [], 0], _add_text, close, (
             ("text", pa.string()), ("loss", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))))
 
-    return source.mapInArrow(run, f"key {kind}, text string, loss array<struct<start: bigint, end: bigint>>") \
+    return mapped(source, run, f"key {kind}, text string, loss array<struct<start: bigint, end: bigint>>") \
         .withColumnRenamed("key", key)
 
 
@@ -323,5 +325,5 @@ def digests(formatted: DataFrame, key: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _grouped(batches, lambda name: [name, 0, hashlib.sha256(), 0, hashlib.sha256(), 0], add, close, DIGEST)
 
-    return source.mapInArrow(run, f"key {kind}, n_turns bigint, turns_sha256 string, loss_chars bigint, "
+    return mapped(source, run, f"key {kind}, n_turns bigint, turns_sha256 string, loss_chars bigint, "
                                   "loss_sha256 string, formatted_chars bigint").withColumnRenamed("key", key)

@@ -5,21 +5,30 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
 
 from millrace.session import shared_folder
 from millrace.tables import read
 
-# Rows per Arrow batch: texts are long, so a batch of the default 10,000 rows could take gigabytes.
-BATCH_ROWS = "512"
+# Texts are long: an Arrow batch of the default 10,000 rows could take gigabytes in a Python worker.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "512",
+         "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table, with Arrow batches small enough for long texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    """A given table."""
     return read(spark, sf_dir, name)
 
 
+def mapped(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+           schema: str | StructType) -> DataFrame:
+    """``df.mapInArrow`` over batches that stay small whatever the texts' lengths."""
+    for key, value in BATCH.items():
+        df.sparkSession.conf.set(key, value)
+    return df.mapInArrow(function, schema)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back, its lineage cut.
 
@@ -32,23 +41,6 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def by_batch(function: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Callable:
-    """A mapInArrow function from one that maps a single batch."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield function(batch)
-    return run
-
-
-def free_name(df: DataFrame, name: str) -> str:
-    """``name``, or a variant of it that is no column of ``df`` (names compare without case)."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = f"_{name}"
-    return name
-
-
 def crc(column: str | Column) -> Column:
     """crc32 of an id written as text."""
     return F.crc32((F.col(column) if isinstance(column, str) else column).cast("string").cast("binary"))
@@ -62,8 +54,6 @@ def rank_within(df: DataFrame, group: str, order: str, sizes: DataFrame, rows_pe
     ``rows_per_part`` rows; a part's rows are numbered on their own, after the
     sum of the parts before it.  ``order`` is unique within a group.
     """
-    from pyspark.sql import Window
-
     parts = F.greatest(F.lit(1), F.ceil(F.col("n") / rows_per_part)).cast("bigint")
     dealt = (df.join(F.broadcast(sizes.select(group, parts.alias("_parts"))), group)
              .withColumn("_part", F.pmod(F.xxhash64(order), F.col("_parts"))))

@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from millrace.llm.common import mapped
 from millrace.llm.html_blocks import Block, blocks
 
 PATH_BUCKETS = 192
@@ -321,4 +322,4 @@ def extract(pages: DataFrame, labeller: Labeller, key: str = "page_id", html: st
                      pa.array([len(t) for t in texts], pa.int64())], [*keys, "text", "n_chars"])
 
     schema = ", ".join([*(f"{k} {kinds[k]}" for k in keys), "text string", "n_chars bigint"])
-    return source.mapInArrow(run, schema).toDF(*names, "text", "n_chars")
+    return mapped(source, run, schema).toDF(*names, "text", "n_chars")

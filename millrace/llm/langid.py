@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from millrace.llm.common import crc
+from millrace.llm.common import crc, mapped
 
 UNKNOWN = "und"
 BUCKETS = 1 << 13
@@ -130,7 +130,7 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(np.arange(BUCKETS), -1)), pa.array(np.append(found, n))], ["bucket", "docs"])
 
-    counted = rows.select("text").mapInArrow(count, "bucket bigint, docs bigint").groupBy("bucket").agg(F.sum("docs"))
+    counted = mapped(rows.select("text"), count, "bucket bigint, docs bigint").groupBy("bucket").agg(F.sum("docs"))
     frequency = np.zeros(BUCKETS + 1)
     for bucket, docs in counted.collect():
         frequency[bucket] = docs
@@ -157,7 +157,7 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str
                 ["lang", "place", "at", "counts"])
 
     kind = "lang string, place int, at array<int>, counts array<int>"
-    features = sample.select("lang", "place", "text").mapInArrow(grams, kind).toPandas()
+    features = mapped(sample.select("lang", "place", "text"), grams, kind).toPandas()
     features = features.sort_values(["lang", "place"])
     languages = sorted(set(features["lang"]))
     model = Centroids(languages, np.zeros(0, int), np.zeros((BUCKETS, 0), np.float32), idf, np.zeros((0, 0)))
@@ -199,7 +199,7 @@ def predict(docs: DataFrame, model: Centroids, key: str = "doc_id", text: str =
                 ["key", "lang_pred", "score", "cosine", "rejected"])
 
     schema = f"key {kind}, lang_pred string, score double, cosine double, rejected boolean"
-    return source.mapInArrow(run, schema).withColumnRenamed("key", key)
+    return mapped(source, run, schema).withColumnRenamed("key", key)
 
 
 def held_out(key: str = "doc_id"):
@@ -216,4 +216,4 @@ def accepted(docs: DataFrame, model: Centroids, text: str = "text") -> DataFrame
             yield batch.filter(pa.array(good, pa.bool_()))
 
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.mapInArrow(run, docs.schema)
+    return mapped(docs, run, docs.schema)

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm.common import rank_within, stored
+from millrace.llm.common import mapped, rank_within, stored
 
 END_ID = 1
 # What a Python worker remembers, about 200 bytes each: up to twice these numbers, as the ones used since the table
@@ -133,7 +133,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, length: int, key: str = "doc_i
 
     schema = (f"key {kind}, doc_row bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
               + ", ids array<bigint>" * with_ids)
-    return source.mapInArrow(cut, schema).withColumnRenamed("key", key)
+    return mapped(source, cut, schema).withColumnRenamed("key", key)
 
 
 def pack_histogram(histogram: dict[int, int], size: int) -> list[tuple[int, tuple[int, ...]]]:

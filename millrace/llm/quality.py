@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from millrace.llm.common import crc
+from millrace.llm.common import crc, mapped
 
 BUCKETS = 1 << 12        # for hashed words
 FACTORS = 8
@@ -150,7 +150,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     kind = dict(chosen.dtypes)["key"]
     schema = f"key {kind}, label int, at array<int>, weights array<float>, statistics array<float>"
-    rows = sorted(chosen.mapInArrow(run, schema).collect(), key=lambda r: (r["key"], len(r["at"])))
+    rows = sorted(mapped(chosen, run, schema).collect(), key=lambda r: (r["key"], len(r["at"])))
     if not rows:
         return None
     statistics = np.array([r["statistics"] for r in rows], np.float32)
@@ -183,5 +183,5 @@ def score(docs: DataFrame, model: FactorisationMachine | None, key: str = "doc_i
             scores = [known.score(t.as_py()) if known else 0.5 for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(scores, pa.float64())], ["key", "score"])
 
-    scored = source.mapInArrow(run, f"key {kind}, score double").withColumnRenamed("key", key)
+    scored = mapped(source, run, f"key {kind}, score double").withColumnRenamed("key", key)
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))

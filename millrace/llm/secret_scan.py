@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from millrace.llm.common import mapped
 from millrace.llm.automaton import Automaton
 
 
@@ -118,7 +119,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(rows, pa.list_(span))], ["key", "spans"])
 
     schema = f"key {kind}, spans array<struct<kind: string, start: bigint, end: bigint>>"
-    return source.mapInArrow(run, schema).withColumnRenamed("key", key)
+    return mapped(source, run, schema).withColumnRenamed("key", key)
 
 
 def redact(docs: DataFrame, text: str = "text", length: str | None = "n_chars", mark: str = "[SECRET]") -> DataFrame:
@@ -141,4 +142,4 @@ def redact(docs: DataFrame, text: str = "text", length: str | None = "n_chars",
                                          batch.column(size).type)
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return mapped(docs, run, docs.schema)

@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.common import stored
+from millrace.llm.common import mapped, stored
 from millrace.llm.components import components
 
 SEED = 42
@@ -65,7 +65,7 @@ def with_simhash(docs: DataFrame, keys: list[str], text: str = "text", width: in
                 [batch.column(n) for n in names] + [pa.array(prints.view(np.int64))], [*names, "fingerprint"])
 
     schema = ", ".join([*(f"{n} {kinds[n]}" for n in names), "fingerprint bigint"])
-    return source.mapInArrow(run, schema).toDF(*keys, "fingerprint")
+    return mapped(source, run, schema).toDF(*keys, "fingerprint")
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -236,6 +236,10 @@ def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text", radi
     A row without a key cannot be named as a group's document; such rows stay as they are.
     """
     named = docs.filter(F.col(key).isNotNull())
-    kept = near_duplicates(named, key, text, radius).select(F.col("component_id").alias(key)).distinct()
-    return (named.join(kept, key, "left_semi").dropDuplicates([key])
+    found = near_duplicates(named, key, text, radius)
+    kept = stored(found.filter(F.col(key) == F.col("component_id")).groupBy(key).agg(F.count("*").alias("n")))
+    # The keys are the narrow side: hashing them spares sorting the texts.  Only repeated keys need their rows compared.
+    once, more = (kept.filter(c).select(key).hint("shuffle_hash") for c in ("n = 1", "n > 1"))
+    return (named.join(once, key, "left_semi")
+            .unionByName(named.join(more, key, "left_semi").dropDuplicates([key]))
             .unionByName(docs.filter(F.col(key).isNull())))
