@@ -74,11 +74,11 @@ def test_a_join_reads_each_side_once(spark, sf, how):
 def test_the_join_is_chosen_by_size_at_run_time(spark, sf):
     """A table that is small only after its filter is broadcast, without a hint."""
     lines = spark.read.parquet(f"{sf}/lineitem.parquet").selectExpr("l_orderkey", "l_quantity")
-    names = spark.read.parquet(f"{sf}/orders.parquet").where("o_orderkey % 500 = 0").selectExpr("o_orderkey AS l_orderkey", "o_comment")
+    names = spark.read.parquet(f"{sf}/orders.parquet").where("o_orderkey % 500 = 0").selectExpr("o_orderkey AS l_orderkey", "o_orderpriority")
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
     try:
-        out = joins.lookup_join(lines, names, "l_orderkey", "o_comment", "none")
+        out = joins.lookup_join(lines, names, "l_orderkey", "o_orderpriority", "none")
         assert "BroadcastHashJoin" not in out._jdf.queryExecution().sparkPlan().toString()
         out.collect()
         assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
