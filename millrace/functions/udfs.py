@@ -47,7 +47,9 @@ def describe(name: pd.Series, department: pd.Series, years: pd.Series) -> pd.Ser
 
 @F.pandas_udf(T.StringType())
 def billing_status(balance: pd.Series) -> pd.Series:
-    return balance.map(lambda b: "PAID" if b == 0.0 else "DUE")
+    out = pd.Series("DUE", index=balance.index, dtype="object")
+    out[balance == 0.0] = "PAID"
+    return out
 
 
 SQL_NAMES = {"salary_category_sql": salary_category, "experience_level_sql": experience_level,

@@ -63,6 +63,31 @@ def lookup_join(df: DataFrame, names: DataFrame, key: str, value: str, default:
             .withColumn(value, F.coalesce(F.col(value), F.lit(default))))
 
 
+GRAM = 3  # characters by which a term finds its candidates
+
+
+def resolved(terms: DataFrame, term: str, names: DataFrame) -> DataFrame:
+    """Each distinct term with the lowest ``id`` of ``names`` (id, name) that it means, or null.
+
+    A term that is an id means that row; else any name that contains it,
+    whatever its case and padding.  Candidates are found by an equality on the
+    term's first GRAM characters, never by comparing every term with every name.
+    Names with the same text are one candidate.
+    """
+    plain = F.lower(F.trim(term))
+    asked = terms.select(term, plain.alias("_text"), plain.try_cast("bigint").alias("_id"),
+                         F.substring(plain, 1, GRAM).alias("_gram"))
+    by_id = asked.join(names.select(F.col("id").alias("_id")).distinct(), "_id").select(term, F.col("_id").alias("_exact"))
+    texts = names.groupBy(F.lower("name").alias("_name")).agg(F.min("id").alias("_found"))
+    grams = F.array_distinct(F.flatten(F.transform(
+        F.sequence(F.lit(1), F.greatest(F.length("_name"), F.lit(1))),
+        lambda i: F.transform(F.sequence(F.lit(1), F.lit(GRAM)), lambda n: F.col("_name").substr(i, n)))))
+    pairs = asked.where(F.length("_text") > 0).join(texts.withColumn("_gram", F.explode(grams)), "_gram")
+    by_text = (pairs.where(F.contains("_name", "_text")).groupBy(term).agg(F.min("_found").alias("_part")))
+    return (asked.select(term).join(by_id, term, "left").join(by_text, term, "left")
+            .select(term, F.coalesce("_exact", "_part").alias("id")))
+
+
 def zero_filled(dimension: DataFrame, facts: DataFrame, on: str,
                 defaults: Mapping[str, object]) -> DataFrame:
     """One row for every row of ``dimension``; absent facts take the defaults.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from millrace.session import checkpointed
 
@@ -25,19 +25,36 @@ def time_grid(counts: DataFrame, key: str, bin_col: str, value: str, seconds: in
             .select(key, bin_col, F.coalesce(F.col(value), F.lit(0)).cast("double").alias(value)))
 
 
-def with_lags(df: DataFrame, key: str, order: str, value: str, lags: dict[str, int]) -> DataFrame:
-    """Earlier (positive) or later (negative) values of a gap-free series."""
-    w = Window.partitionBy(key).orderBy(order)
-    return df.withColumns({name: F.lag(value, n).over(w) if n > 0 else F.lead(value, -n).over(w)
-                           for name, n in lags.items()})
+CHUNK_STEPS = 2048  # rows of a series in one window
 
 
-def with_rolling_means(df: DataFrame, key: str, order: str, value: str, sizes: dict[str, int]) -> DataFrame:
-    """Mean of the last n rows, null until n rows are there."""
-    w = Window.partitionBy(key).orderBy(order)
+def _chunked(df: DataFrame, key: str, order: str, seconds: int, back: int, ahead: int) -> tuple[DataFrame, WindowSpec]:
+    """A gap-free series cut into chunks of CHUNK_STEPS rows, each with copies of its neighbours' edge rows.
+
+    ``back`` and ``ahead`` say how far a row looks.  Windows then run on (key,
+    chunk), so a long series is many tasks; rows with ``_own`` false are copies,
+    to be dropped afterwards.
+    """
+    step = F.floor(F.unix_timestamp(order) / seconds)
+    reach = F.sequence(F.floor((step - ahead) / CHUNK_STEPS), F.floor((step + back) / CHUNK_STEPS))
+    rows = df.withColumn("_home", F.floor(step / CHUNK_STEPS)).withColumn("_chunk", F.explode(reach))
+    return rows.withColumn("_own", F.col("_home") == F.col("_chunk")), Window.partitionBy(key, "_chunk").orderBy(order)
+
+
+def with_lags(df: DataFrame, key: str, order: str, value: str, lags: dict[str, int], seconds: int) -> DataFrame:
+    """Earlier (positive) or later (negative) values of a gap-free series with a row every ``seconds``."""
+    rows, w = _chunked(df, key, order, seconds, max(0, *lags.values()), max(0, *(-n for n in lags.values())))
+    made = {name: F.lag(value, n).over(w) if n > 0 else F.lead(value, -n).over(w) for name, n in lags.items()}
+    return rows.withColumns(made).where("_own").drop("_home", "_chunk", "_own")
+
+
+def with_rolling_means(df: DataFrame, key: str, order: str, value: str, sizes: dict[str, int],
+                       seconds: int) -> DataFrame:
+    """Mean of the last n rows of a gap-free series, null until n rows are there."""
+    rows, w = _chunked(df, key, order, seconds, max(sizes.values()), 0)
     place = F.row_number().over(w)
-    return df.withColumns({name: F.when(place >= n, F.avg(value).over(w.rowsBetween(1 - n, 0)))
-                           for name, n in sizes.items()})
+    made = {name: F.when(place >= n, F.avg(value).over(w.rowsBetween(1 - n, 0))) for name, n in sizes.items()}
+    return rows.withColumns(made).where("_own").drop("_home", "_chunk", "_own")
 
 
 def step_limited(df: DataFrame, key: str, time: str, target: str, name: str,

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.functions.scalars import floor_to
 from millrace.operators.aggregates import newest_per_key
 from millrace.operators.series import time_grid, with_lags, with_rolling_means
-from millrace.session import cached, checkpointed
+from millrace.session import checkpointed
 
 # Fixed values.
 BIN_SECONDS = 1800
@@ -62,8 +62,8 @@ def features(requests: DataFrame, weather: DataFrame | None = None, holidays: li
              zone: str = "zone_id", time: str = "request_time", seconds: int = BIN_SECONDS) -> DataFrame:
     """All model inputs and the next bin's demand ``y_next``; nothing looks ahead but the target."""
     grid = demand_grid(requests, zone, time, seconds)
-    grid = with_lags(grid, "zone_id", "bin", "demand", LAGS)
-    grid = with_rolling_means(grid, "zone_id", "bin", "demand", ROLLING)
+    grid = with_lags(grid, "zone_id", "bin", "demand", LAGS, seconds)
+    grid = with_rolling_means(grid, "zone_id", "bin", "demand", ROLLING, seconds)
     return with_weather(with_calendar(grid, holidays), weather)
 
 
@@ -92,13 +92,14 @@ def train(rows: DataFrame, forest: dict | None = None) -> Trained:
     candidates = {"linear_regression": LinearRegression(**common),
                   "random_forest": RandomForestRegressor(**common, **(forest or FOREST))}
     metrics, fitted = {}, {}
-    with cached(time_split(complete(rows))) as split:
-        fit_rows, test_rows = split.where("is_train"), split.where("NOT is_train")
-        for name, regressor in candidates.items():
-            fitted[name] = Pipeline(stages=[assembler, regressor]).fit(fit_rows)
-            scored = fitted[name].transform(test_rows)
-            metrics[name] = {m: RegressionEvaluator(labelCol="y_next", metricName=m).evaluate(scored)
-                             for m in ("r2", "mae", "rmse")}
+    # One row per zone and bin, read by every iteration.
+    split = checkpointed(time_split(complete(rows)))
+    fit_rows, test_rows = split.where("is_train"), split.where("NOT is_train")
+    for name, regressor in candidates.items():
+        fitted[name] = Pipeline(stages=[assembler, regressor]).fit(fit_rows)
+        scored = fitted[name].transform(test_rows)
+        metrics[name] = {m: RegressionEvaluator(labelCol="y_next", metricName=m).evaluate(scored)
+                         for m in ("r2", "mae", "rmse")}
     best = max(metrics, key=lambda n: metrics[n]["r2"])
     return Trained(best, fitted[best], metrics, metrics[best]["r2"] >= R2_TARGET)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.operators.aggregates import total
+from millrace.operators.aggregates import counted, total
 from millrace.operators.quality import all_hold, transaction_rules
 
 
@@ -37,16 +37,17 @@ def category_totals(transactions: DataFrame) -> DataFrame:
 def run(raw: DataFrame, base: str) -> dict[str, int]:
     """The whole pipeline: three Parquet results and the reject counts.
 
-    The typed input is persisted so the file is parsed once for all outputs.
+    The input is parsed once: rejects are counted beside the write of the clean
+    rows, and the summaries read the written columns they need.
     """
-    from millrace.operators.quality import reject_accounting
-    from millrace.session import cached
-
-    with cached(typed(raw)) as rows:
-        good = rows.where(all_hold(transaction_rules())).select(
-            "transaction_id", "customer_id", "transaction_time", "transaction_date",
-            F.col("amount_value").alias("amount"), "category", "status")
-        good.write.mode("overwrite").parquet(f"{base}/clean_transactions")
-        daily_totals(good).write.mode("overwrite").parquet(f"{base}/daily_summary")
-        category_totals(good).write.mode("overwrite").parquet(f"{base}/category_summary")
-        return reject_accounting(rows, all_hold(transaction_rules())).first().asDict()
+    valid = F.coalesce(all_hold(transaction_rules()), F.lit(False))
+    rows, seen = counted(typed(raw), {"raw_rows": F.count(F.lit(1)), "valid_rows": F.count_if(valid),
+                                      "rejected_rows": F.count_if(~valid)})
+    rows.where(valid).select(
+        "transaction_id", "customer_id", "transaction_time", "transaction_date",
+        F.col("amount_value").alias("amount"), "category", "status",
+    ).write.mode("overwrite").parquet(f"{base}/clean_transactions")
+    good = raw.sparkSession.read.parquet(f"{base}/clean_transactions")
+    daily_totals(good).write.mode("overwrite").parquet(f"{base}/daily_summary")
+    category_totals(good).write.mode("overwrite").parquet(f"{base}/category_summary")
+    return dict(seen.get)

@@ -48,12 +48,12 @@ def demand_grid(spark, d):
 
 @query("features_lags", with_(SERIES) + "SELECT zone_id, bin, y_next, lag_30m, lag_60m, lag_24h, lag_7d FROM series")
 def features_lags(spark, d):
-    return _zone(with_lags(grid(spark, d), "zone_id", "bin", "demand", forecast.LAGS).drop("demand"))
+    return _zone(with_lags(grid(spark, d), "zone_id", "bin", "demand", forecast.LAGS, forecast.BIN_SECONDS).drop("demand"))
 
 
 @query("features_rolling", with_(SERIES) + "SELECT zone_id, bin, roll_mean_1h, roll_mean_2h FROM series")
 def features_rolling(spark, d):
-    return _zone(with_rolling_means(grid(spark, d), "zone_id", "bin", "demand", forecast.ROLLING).drop("demand"))
+    return _zone(with_rolling_means(grid(spark, d), "zone_id", "bin", "demand", forecast.ROLLING, forecast.BIN_SECONDS).drop("demand"))
 
 
 @query("features_weather", with_(FEATURES) + "SELECT zone_id, bin, rain_mm_h, temperature_c FROM features")

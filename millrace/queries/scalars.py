@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import scalars as s
 from millrace.functions.geo import haversine_km, in_box, nearest_zone
+from millrace.operators.joins import resolved
 from millrace.plans import mapping
 from millrace.queries.registry import big, day, query
 from millrace.queries.views import POSITIONS, TRIPS, ZONES, with_
@@ -63,23 +64,24 @@ def surge_row_key(spark, d):
 
 
 @query("resolve_dimension", """
-SELECT q.wanted, min(p.p_partkey) AS part_key
-FROM (SELECT DISTINCT lower(p_type) AS wanted, p_type FROM part) q
-JOIN part p ON contains(lower(p.p_type || ' ' || p.p_name), q.wanted) AND p.p_type = q.p_type
-GROUP BY q.wanted
-UNION ALL
-SELECT CAST(o_custkey AS VARCHAR), min(c_custkey) FROM (SELECT DISTINCT o_custkey FROM orders) JOIN customer ON c_custkey = o_custkey GROUP BY 1""")
+SELECT wanted, coalesce((SELECT min(p_partkey) FROM part WHERE CAST(p_partkey AS VARCHAR) = trim(wanted)),
+                        (SELECT min(p_partkey) FROM part WHERE contains(lower(p_type || ' ' || p_name), lower(trim(wanted))))) AS part_key
+FROM (SELECT DISTINCT '  ' || upper(substr(p_type, 2, 4)) || ' ' AS wanted FROM part
+      UNION SELECT DISTINCT substr(p_name, 3, 6) FROM part UNION SELECT DISTINCT substr(p_type, 1, 2) FROM part
+      UNION SELECT DISTINCT ' ' || l_partkey FROM lineitem UNION SELECT 'no such part ' || s_nationkey FROM supplier)""")
 def resolve_dimension(spark, d):
-    """Part types found by text and customers by numeric id; the lowest id wins."""
+    """Partial, padded, mixed-case and numeric terms against all names; the lowest id wins, unknown terms stay null."""
     part = read(spark, d, "part")
-    text = F.concat_ws(" ", "p_type", "p_name")
-    by_text = (part.withColumn("wanted", F.lower("p_type")).where(s.matches_text(text, F.col("wanted")))
-               .groupBy("wanted").agg(F.min("p_partkey").alias("part_key")))
-    wanted = read(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("wanted")).distinct()
-    ids = wanted.withColumn("c_custkey", F.col("wanted").try_cast("bigint"))
-    by_id = (ids.join(read(spark, d, "customer").select("c_custkey"), "c_custkey")
-             .groupBy("wanted").agg(F.min("c_custkey").alias("part_key")))
-    return by_text.unionByName(by_id)
+    padded = F.concat(F.lit("  "), F.upper(F.substring("p_type", 2, 4)), F.lit(" "))
+    terms = [part.select(padded.alias("wanted")), part.select(F.substring("p_name", 3, 6).alias("wanted")),
+             part.select(F.substring("p_type", 1, 2).alias("wanted")),
+             read(spark, d, "lineitem").select(F.concat(F.lit(" "), "l_partkey").alias("wanted")),
+             read(spark, d, "supplier").select(F.concat(F.lit("no such part "), "s_nationkey").alias("wanted"))]
+    wanted = terms[0]
+    for more in terms[1:]:
+        wanted = wanted.unionAll(more)
+    names = part.select(F.col("p_partkey").alias("id"), F.concat_ws(" ", "p_type", "p_name").alias("name"))
+    return resolved(wanted.distinct(), "wanted", names).withColumnRenamed("id", "part_key")
 
 
 @query("scalar_time", """

@@ -31,8 +31,10 @@ def csv_as_text(spark: SparkSession, path: str, columns: Sequence[str]) -> DataF
     return spark.read.option("header", True).option("mode", "PERMISSIVE").schema(schema).csv(path)
 
 
-def rows_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
+def rows_table(spark: SparkSession, rows: Sequence[tuple], schema: str, slices: int | None = None) -> DataFrame:
+    """Literal rows, dealt over ``slices`` partitions if that is given."""
+    df = spark.createDataFrame(rows, schema)
+    return df if slices is None else df.repartition(slices)
 
 
 def generated(spark: SparkSession, first: int, last: int, columns: Mapping[str, object],

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import json
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from millrace.operators.dedup import changed_since, upsert
 from millrace.sources.batch import parquet_or_empty
 
-POINTER = "version bigint, high_water timestamp"
+# A table lies in this many folders by the hash of its key; an import rewrites those that its changes fall into.
+BUCKETS = 64
+POINTER = "version bigint, high_water timestamp, folders map<int, bigint>, schema string"
 
 
 def full_refresh(tables: Mapping[str, DataFrame], base: str, files: int | None = None) -> None:
@@ -19,36 +23,56 @@ def full_refresh(tables: Mapping[str, DataFrame], base: str, files: int | None =
         rows.write.mode("overwrite").parquet(f"{base}/{name}")
 
 
+def _commit(spark: SparkSession, table: str, version: int | None = None) -> Row | None:
+    """A committed version (the last one by default): its mark, and for each bucket the version that wrote it."""
+    commits = parquet_or_empty(spark, f"{table}/commits", POINTER)
+    if version is not None:
+        commits = commits.where(F.col("version") == version)
+    return commits.agg(F.max_by(F.struct(*commits.columns), "version").alias("c")).first()["c"]
+
+
 def current_version(spark: SparkSession, table: str) -> tuple[int, object] | None:
     """The last committed version and its newest modification time."""
-    row = (parquet_or_empty(spark, f"{table}/commits", POINTER)
-           .agg(F.max_by(F.struct("version", "high_water"), "version").alias("c")).first())
-    return None if row["c"] is None else (row["c"]["version"], row["c"]["high_water"])
+    last = _commit(spark, table)
+    return None if last is None else (last["version"], last["high_water"])
+
+
+def _rows(spark: SparkSession, table: str, commit: Row, buckets: Iterable[int] | None = None) -> DataFrame:
+    """The rows of a version, or of some of its buckets."""
+    schema = StructType.fromJson(json.loads(commit["schema"]))
+    wanted = commit["folders"] if buckets is None else {b: v for b, v in commit["folders"].items() if b in set(buckets)}
+    paths = [f"{table}/data/v{version}/_bucket={bucket}" for bucket, version in sorted(wanted.items())]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
 def read_version(spark: SparkSession, table: str, version: int | None = None) -> DataFrame:
-    if version is None:
-        committed = current_version(spark, table)
-        if committed is None:
-            raise FileNotFoundError(f"nothing imported into {table} yet")
-        version = committed[0]
-    return spark.read.parquet(f"{table}/data/v{version}")
+    commit = _commit(spark, table, version)
+    if commit is None:
+        raise FileNotFoundError(f"nothing imported into {table} yet" if version is None else f"{table} has no version {version}")
+    return _rows(spark, table, commit)
 
 
 def import_changes(spark: SparkSession, source: DataFrame, table: str, key: str, modified: str) -> int:
     """Merge rows modified since the last import and commit a new version of the table.
 
-    The new version is written beside the old one and becomes current by one
-    appended commit row, so readers never see half of it, and an import that
-    dies is simply run again.
+    Only the buckets that hold a changed key are read, merged and written again,
+    beside the old ones; a version names for each bucket the folder it lies in.
+    It becomes current by one appended commit row, so readers never see half of
+    it, and an import that dies is simply run again.
     """
-    committed = current_version(spark, table)
-    version = 1 if committed is None else committed[0] + 1
-    changes = changed_since(source, modified, None if committed is None else committed[1])
-    merged = changes if committed is None else upsert(read_version(spark, table, committed[0]), changes, key, modified)
-    target = f"{table}/data/v{version}"
-    merged.write.mode("overwrite").parquet(target)
-    (spark.read.parquet(target)
-     .agg(F.lit(version).cast("bigint").alias("version"), F.max(modified).cast("timestamp").alias("high_water"))
-     .coalesce(1).write.mode("append").parquet(f"{table}/commits"))
+    last = _commit(spark, table)
+    version = 1 if last is None else last["version"] + 1
+    bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+    changes = changed_since(source, modified, None if last is None else last["high_water"])
+    # At most BUCKETS rows: which folders change, and the newest time.
+    seen = changes.groupBy(bucket.alias("b")).agg(F.max(modified).cast("timestamp").alias("m")).collect()
+    folders = ({} if last is None else dict(last["folders"])) | {r["b"]: version for r in seen}
+    mark = max([r["m"] for r in seen if r["m"] is not None], default=None if last is None else last["high_water"])
+    if seen:
+        touched = [r["b"] for r in seen]
+        merged = changes if last is None else upsert(_rows(spark, table, last, touched), changes, key, modified)
+        (merged.withColumn("_bucket", bucket).hint("rebalance", "_bucket")
+         .write.mode("overwrite").partitionBy("_bucket").parquet(f"{table}/data/v{version}"))
+    spark.createDataFrame([(version, mark, folders, source.schema.json())], POINTER).coalesce(1) \
+        .write.mode("append").parquet(f"{table}/commits")
     return version

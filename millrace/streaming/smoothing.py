@@ -26,8 +26,8 @@ def smooth(target: float, previous: float | None) -> float:
 def smoothed(rows: DataFrame, slide_seconds: int = 60) -> DataFrame:
     """Rows (zone_id, window_end, surge_multiplier) with the smoothed multiplier.
 
-    Rows of a zone must arrive in time order across batches; older ones are
-    dropped.  The state is checkpointed by Spark, so a failed batch does not
+    Rows of a zone must arrive in time order across batches; one that is older
+    than its zone's state keeps a null multiplier, for the reader to count.  The state is checkpointed by Spark, so a failed batch does not
     advance it.
     """
     lookback = pd.Timedelta(seconds=LOOKBACK_STEPS * slide_seconds)
@@ -39,6 +39,7 @@ def smoothed(rows: DataFrame, slide_seconds: int = 60) -> DataFrame:
         out = []
         for time, target in zip(rows["window_end"], rows["surge_multiplier"]):
             if at is not None and time < at:
+                out.append((key[0], time, target, None))
                 continue
             if at is None or time > at:
                 before_at, before = at, value

@@ -76,7 +76,7 @@ def test_the_join_is_chosen_by_size_at_run_time(spark, sf):
     lines = spark.read.parquet(f"{sf}/lineitem.parquet").selectExpr("l_orderkey", "l_quantity")
     names = spark.read.parquet(f"{sf}/orders.parquet").where("o_orderkey % 500 = 0").selectExpr("o_orderkey AS l_orderkey", "o_orderpriority")
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2k")
     try:
         out = joins.lookup_join(lines, names, "l_orderkey", "o_orderpriority", "none")
         assert "BroadcastHashJoin" not in out._jdf.queryExecution().sparkPlan().toString()
@@ -207,8 +207,8 @@ def test_series(spark):
                                    "z int, bin timestamp, demand int")
     grid = series.time_grid(counts, "z", "bin", "demand", 1800)
     assert grid.count() == 10 and grid.agg(F.sum("demand")).first()[0] == 11.0
-    lagged = series.with_lags(grid, "z", "bin", "demand", {"prev": 1, "next": -1})
-    out = series.with_rolling_means(lagged, "z", "bin", "demand", {"mean2": 2}).where("z = 1").orderBy("bin").collect()
+    lagged = series.with_lags(grid, "z", "bin", "demand", {"prev": 1, "next": -1}, 1800)
+    out = series.with_rolling_means(lagged, "z", "bin", "demand", {"mean2": 2}, 1800).where("z = 1").orderBy("bin").collect()
     assert [r["prev"] for r in out] == [None, 4.0, 0.0, 0.0, 0.0]
     assert [r["next"] for r in out] == [0.0, 0.0, 0.0, 6.0, None]
     assert [r["mean2"] for r in out] == [None, 2.0, 0.0, 0.0, 3.0]
@@ -264,3 +264,25 @@ def test_schema_contract(spark):
     with pytest.raises(TypeError):
         layout.require_columns(df, [("id", "string")])
     layout.preview(df, 1)
+
+
+def test_series_windows_over_many_chunks(spark, monkeypatch):
+    """Lags and means across chunk borders equal a plain window, and no window holds a whole series."""
+    monkeypatch.setattr(series, "CHUNK_STEPS", 16)
+    grid = spark.range(400).selectExpr("id % 2 AS z", "timestamp_seconds(1700000000 - 1700000000 % 1800 + (id div 2) * 1800) AS bin",
+                                       "CAST((id * 7919) % 31 AS double) AS demand")
+    lags, sizes = {"y": -1, "a": 1, "b": 2, "c": 47}, {"m2": 2, "m4": 4}
+    got = series.with_rolling_means(series.with_lags(grid, "z", "bin", "demand", lags, 1800), "z", "bin", "demand", sizes, 1800)
+    grid.createOrReplaceTempView("series_input")
+    want = spark.sql("""SELECT z, bin, demand, lead(demand) OVER w, lag(demand) OVER w, lag(demand, 2) OVER w, lag(demand, 47) OVER w,
+        CASE WHEN row_number() OVER w >= 2 THEN avg(demand) OVER (PARTITION BY z ORDER BY bin ROWS 1 PRECEDING) END,
+        CASE WHEN row_number() OVER w >= 4 THEN avg(demand) OVER (PARTITION BY z ORDER BY bin ROWS 3 PRECEDING) END
+        FROM series_input WINDOW w AS (PARTITION BY z ORDER BY bin)""")
+    assert rows(got) == rows(want)
+
+
+def test_names_are_resolved_by_id_or_any_part(spark):
+    names = spark.createDataFrame([(3, "Airport Road"), (1, "Old Airport"), (2, "Lake View"), (12, "Gate 2")], "id bigint, name string")
+    terms = ["airport", " LAKE ", "ew", "e", "2", "99", "nowhere", "", None, "road"]
+    got = {r["t"]: r["id"] for r in joins.resolved(spark.createDataFrame([(t,) for t in terms], "t string"), "t", names).collect()}
+    assert got == {"airport": 1, " LAKE ": 2, "ew": 2, "e": 2, "2": 2, "99": None, "nowhere": None, "": None, None: None, "road": 3}
