@@ -16,13 +16,14 @@ from millrace.llm.common import mapped, rank_within, stored
 END_ID = 1
 # What a Python worker remembers, about 200 bytes each: up to twice these numbers, as the ones used since the table
 # was last full and those before them.
-CACHE_WORDS = 100_000
-CACHE_RUNS = 220_000
+CACHE_WORDS = 50_000
+CACHE_RUNS = 300_000
 
 # Texts of these characters only are unchanged by Unicode composition and have one-to-one lower case, so the
-# tokenizer treats each run of letters, each digit and each run of signs on its own.
+# tokenizer treats each run of letters, each digit and each run of signs on its own.  ("'" makes contractions.)
 _PLAIN = re.compile(r"[!-&(-~À-ÖØ-öø-ÿ]+")
-_RUN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[^A-Za-zÀ-ÖØ-öø-ÿ0-9]+")
+_PLAIN_TEXT = re.compile(r"[\t-\r -&(-~À-ÖØ-öø-ÿ]*")
+_RUN = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9\t-\r ]+")
 
 
 def _split(text: str) -> list[str]:
@@ -33,11 +34,12 @@ def _split(text: str) -> list[str]:
 
 
 class WordTokens:
-    """Ids of a white-space dropping tokenizer, one word at a time, remembered across texts.
+    """Ids of a white-space dropping tokenizer, one run of characters at a time, remembered across texts.
 
-    Ids come from the tokenizer alone.  Because its words never reach over ASCII
-    white space, a text's ids are its words' ids in a row; a word met before is
-    looked up.
+    Ids come from the tokenizer alone.  Because it splits texts at white space
+    and between letters, digits and signs, a text's ids are its runs' ids in a
+    row; a run met before is looked up.  Texts with characters for which this
+    is not plain to see are cut into words, which the tokenizer encodes whole.
     """
 
     def __init__(self, path: str):
@@ -70,20 +72,29 @@ class WordTokens:
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
         self._age()
-        split = [_split(t) for t in texts]
-        words, known = self.words, self.runs
-        new = set().union(*split).difference(words)
-        words.update((w, self.old_words[w]) for w in new.intersection(self.old_words))
-        new.difference_update(self.old_words)
-        plain = {w: [w.lower()] if w.isascii() and w.isalpha() else _RUN.findall(w.lower())
-                 for w in new if _PLAIN.fullmatch(w) and "<|" not in w}
-        runs = set().union(*plain.values()).difference(known)
-        known.update((r, self.old_runs[r]) for r in runs.intersection(self.old_runs))
-        known.update((r, self._encode_run(r)) for r in runs.difference(self.old_runs))
-        words.update(zip(plain, [known[part[0]] if len(part) == 1 else b"".join(map(known.__getitem__, part))
-                                 for part in plain.values()]))
-        words.update((w, self._encode(w)) for w in new.difference(plain))
-        return [b"".join(map(words.__getitem__, part)) for part in split]
+        plain = [_RUN.findall(t.lower()) if _PLAIN_TEXT.fullmatch(t) and "<|" not in t else None for t in texts]
+        odd = {i: _split(t) for i, (t, runs) in enumerate(zip(texts, plain)) if runs is None}
+        self._learn_runs(set().union(*(runs for runs in plain if runs is not None)))
+        self._learn_words(set().union(*odd.values()))
+        return [b"".join(map(self.words.__getitem__, odd[i])) if runs is None else
+                b"".join(map(self.runs.__getitem__, runs)) for i, runs in enumerate(plain)]
+
+    def _learn_runs(self, runs: set[str]) -> None:
+        known, old = self.runs, self.old_runs
+        new = runs.difference(known)
+        known.update((r, old[r]) for r in new.intersection(old))
+        known.update((r, self._encode_run(r)) for r in new.difference(old))
+
+    def _learn_words(self, words: set[str]) -> None:
+        """Words of texts with other characters: whole, unless they are plain themselves."""
+        known, old = self.words, self.old_words
+        new = words.difference(known)
+        known.update((w, old[w]) for w in new.intersection(old))
+        new.difference_update(old)
+        plain = {w: _RUN.findall(w.lower()) for w in new if _PLAIN.fullmatch(w) and "<|" not in w}
+        self._learn_runs(set().union(*plain.values()))
+        known.update((w, b"".join(map(self.runs.__getitem__, runs))) for w, runs in plain.items())
+        known.update((w, self._encode(w)) for w in new.difference(plain))
 
 
 _LOADED: dict[str, WordTokens] = {}
