@@ -46,6 +46,25 @@ def crc(column: str | Column) -> Column:
     return F.crc32((F.col(column) if isinstance(column, str) else column).cast("string").cast("binary"))
 
 
+def sampled(rows: DataFrame, group: str, key: str, n: int) -> DataFrame:
+    """At most ``n`` rows of each ``group``, those with the smallest hash of ``key``, with their ``place`` from 1.
+
+    Groups are few by their meaning (labels, languages).  Their sizes are
+    counted first and all but about ``4 n`` rows of a group are dropped by their
+    hash where they are read, so a group's last ranking is small however many
+    tasks read the table.  Null keys and groups take no part.
+    """
+    rows = rows.filter(F.col(key).isNotNull() & F.col(group).isNotNull())
+    sizes = {r[group]: r["count"] for r in rows.groupBy(group).count().collect()}
+    if not sizes:
+        return rows.withColumn("place", F.lit(1))
+    most = {g: -(1 << 63) + min((1 << 64) - 1, (1 << 64) * 4 * n // size) for g, size in sizes.items()}
+    limits = F.create_map(*(F.lit(x) for pair in most.items() for x in pair))
+    order = Window.partitionBy(group).orderBy(F.xxhash64(key), key)
+    return (rows.filter(F.xxhash64(key) <= F.element_at(limits, F.col(group)))
+            .withColumn("place", F.row_number().over(order)).filter(F.col("place") <= n))
+
+
 def rank_within(df: DataFrame, group: str, order: str, sizes: DataFrame, rows_per_part: int = 1_000) -> DataFrame:
     """Adds ``rank`` (long, from 0): the row's place within its ``group``, without a window over a whole group.
 

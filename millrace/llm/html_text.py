@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.common import mapped
+from millrace.llm.common import mapped, sampled
 from millrace.llm.html_blocks import Block, blocks
 
 PATH_BUCKETS = 192
@@ -267,8 +267,7 @@ def fit(pages: DataFrame, key: str = "page_id", html: str = "html", sample_pages
     not one site's template.  A page without such an element lends its longer
     unlinked blocks as main text to the layouts only.
     """
-    keys = pages.select(F.col(key).alias("key")).filter(F.col("key").isNotNull())
-    keys = keys.orderBy(F.xxhash64("key"), "key").limit(sample_pages)
+    keys = sampled(pages.select(F.col(key).alias("key"), F.lit("page").alias("kind")), "kind", "key", sample_pages).select("key")
     sample = pages.select(F.col(key).alias("key"), F.col(html).alias("html")).join(F.broadcast(keys), "key")
     rows = sorted({(r["key"], r["html"] or "") for r in sample.distinct().collect()})
     inputs, labels, rng = [], [], np.random.default_rng(11)

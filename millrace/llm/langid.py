@@ -7,9 +7,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.common import crc, mapped
+from millrace.llm.common import crc, mapped, sampled
 
 UNKNOWN = "und"
 BUCKETS = 1 << 13
@@ -136,9 +136,7 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str
         frequency[bucket] = docs
     idf = (np.log((1 + frequency[-1]) / (1 + frequency[:-1])) + 1).astype(np.float32)
 
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key")
-    places = (rows.filter(F.col("key").isNotNull()).select("key", "lang")
-              .withColumn("place", F.row_number().over(first)).filter(F.col("place") <= sample_rows))
+    places = sampled(rows.select("key", "lang"), "lang", "key", sample_rows)
     # At most sample_rows keys per language; the texts join them without being shuffled.
     sample = rows.select("key", "text").join(F.broadcast(places), "key")
 

@@ -7,9 +7,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.common import crc, mapped
+from millrace.llm.common import crc, mapped, sampled
 
 BUCKETS = 1 << 12        # for hashed words
 FACTORS = 8
@@ -134,8 +134,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     usable = (labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~held_out(key))
               .groupBy(F.col(key).alias("key")).agg(F.max(label).cast("int").alias("label")))
     counts = {r["label"]: r["n"] for r in usable.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    first = Window.partitionBy("label").orderBy(F.xxhash64("key"), "key")
-    sample = usable.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= sample_rows).drop("place")
+    sample = sampled(usable, "label", "key", sample_rows).drop("place")
     # At most 2 * sample_rows rows: the bound is a parameter.
     chosen = (docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
               .join(F.broadcast(sample), "key").select("key", "label", "text"))
