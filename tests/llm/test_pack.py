@@ -97,3 +97,16 @@ def test_empty_table(spark, documents):
 
 def test_power_of_two_needs_no_padding():
     assert [pack.padding(n, 2048) for n in (2048, 1024, 1023, 1)] == [0, 0, 1025, 0]
+
+
+def test_samples_are_those_of_the_smallest_hash(spark):
+    from pyspark.sql import functions as F
+
+    from millrace.llm.common import sampled
+    rows = spark.range(5000).selectExpr("id AS key", "CASE WHEN id % 50 = 0 THEN 'few' WHEN id % 7 = 0 THEN NULL ELSE 'many' END AS g")
+    got = sampled(rows, "g", "key", 120).collect()
+    hashed = rows.withColumn("h", F.xxhash64("key")).collect()
+    for g, n in (("few", 100), ("many", 120)):
+        want = [r["key"] for r in sorted((r for r in hashed if r["g"] == g), key=lambda r: r["h"])[:120]]
+        assert [r["key"] for r in sorted(got, key=lambda r: r["place"]) if r["g"] == g] == want and len(want) == n
+    assert len(got) == 220 and sampled(rows.limit(0), "g", "key", 5).count() == 0
