@@ -81,7 +81,7 @@ def store_batch(path: str) -> BatchWriter:
     def write(batch: DataFrame, batch_id: int) -> None:
         (batch.select("zone_id", "window_end", "surge_multiplier", "demand", "supply", "on_trip", "ratio", "rain_mm_h",
                       "temp_c", F.to_date("window_end").alias("day"), F.lit(batch_id).cast("bigint").alias("batch_id"))
-         .coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("day", "batch_id").parquet(path))
     return write
 
