@@ -22,7 +22,7 @@ MAX_PREFIX = 21
 LEAVES = 1024      # aimed-at fingerprints under one shared prefix
 SPLIT = 4096       # a prefix with more of them is dealt over several indexes
 FAN_OUT = 8        # children of a node
-FRONTIER = 1 << 20  # (query, node) pairs looked at together
+FRONTIER = 1 << 17  # (query, node) pairs looked at together; their children are eight times as many
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
