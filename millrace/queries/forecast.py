@@ -82,9 +82,9 @@ SELECT true AS best_has_higher_r2, true AS target_flag_agrees, true AS nothing_n
 def forecast_checks(spark, d):
     """Both models trained as stated (150 trees of depth 16), the better one scores the latest bin of every zone.
 
-    Hourly bins: the events are too sparse for half hours.
+    Bins of an hour and a half: the events are too sparse for half hours.
     """
-    rows = checkpointed(forecast.features(mapping.raw_requests(spark, d), mapping.weather(spark, d), time="event_time", seconds=3600))
+    rows = checkpointed(forecast.features(mapping.raw_requests(spark, d), mapping.weather(spark, d), time="event_time", seconds=5400))
     trained = forecast.train(rows)
     r2 = {name: m["r2"] for name, m in trained.metrics.items()}
     scored = checkpointed(forecast.score(rows, trained))
