@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from millrace.llm.common import mapped, stored
 from millrace.llm.components import components
@@ -205,7 +206,7 @@ def near_links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def near_groups(prints: DataFrame, key: str, radius: int = RADIUS) -> DataFrame:
-    """(fingerprint, first): every distinct fingerprint with the smallest ``key`` in its group.
+    """(fingerprint, first, group): every distinct fingerprint with the smallest ``key`` in its group, and the group.
 
     Groups are the connected components of fingerprints at ``radius`` or fewer
     differing bits.  Null keys are passed over.  An empty table gives no rows.
@@ -215,7 +216,8 @@ def near_groups(prints: DataFrame, key: str, radius: int = RADIUS) -> DataFrame:
     member = known.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left") \
         .withColumn("root", F.coalesce("root", "fingerprint"))
     first = member.groupBy("root").agg(F.min("first").alias("first"))
-    return stored(member.select("fingerprint", "root").join(first, "root").select("fingerprint", "first"))
+    return stored(member.select("fingerprint", "root").join(first, "root")
+                  .select("fingerprint", "first", F.col("root").alias("group")))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
@@ -225,21 +227,55 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ra
     key keeps its row, null and blank texts have fingerprint zero and link like
     any other.  Other columns play no part.
     """
+    return grouped(docs, key, text, radius).drop("group")
+
+
+def grouped(docs: DataFrame, key: str, text: str, radius: int) -> DataFrame:
+    """``near_duplicates`` with a column ``group``: two groups may share their smallest key."""
     prints = stored(with_simhash(docs, [key], text))
     groups = near_groups(prints, key, radius).withColumnRenamed("first", "component_id")
-    return prints.join(groups, "fingerprint").select(key, "fingerprint", "component_id")
+    return prints.join(groups, "fingerprint").select(key, "fingerprint", "component_id", "group")
 
 
-def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group: the smallest key, and one row of it.
+def _with_fingerprint(docs: DataFrame, text: str, fingerprint: Callable[[str | None], int], name: str) -> DataFrame:
+    """``docs`` with a last column ``name``: the fingerprint (signed) of each row's text."""
+    at = docs.columns.index(text)
 
-    A row without a key cannot be named as a group's document; such rows stay as they are.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = pa.array([fingerprint(t.as_py()) for t in batch.column(at)], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, prints], [*batch.schema.names, name])
+
+    return mapped(docs, run, StructType([*docs.schema.fields, StructField(name, LongType())]))
+
+
+def keep_one(docs: DataFrame, found: DataFrame, key: str, text: str,
+             fingerprint: Callable[[str | None], int]) -> DataFrame:
+    """``docs`` with one row of each group of ``found`` (key, fingerprint, component_id, group), and rows without a key.
+
+    A group's row has the smallest key.  A key may have several texts, each in a
+    group of its own: the row is the one with the group's fingerprint.
     """
     named = docs.filter(F.col(key).isNotNull())
-    found = near_duplicates(named, key, text, radius)
-    kept = stored(found.filter(F.col(key) == F.col("component_id")).groupBy(key).agg(F.count("*").alias("n")))
+    texts = found.groupBy(key).agg(F.count("*").alias("n"), F.count_distinct("fingerprint").alias("texts"))
+    heads = (found.filter(F.col(key) == F.col("component_id")).groupBy(key, "group")
+             .agg(F.min("fingerprint").alias("fingerprint")))
+    kept = stored(heads.join(texts, key))
     # The keys are the narrow side: hashing them spares sorting the texts.  Only repeated keys need their rows compared.
-    once, more = (kept.filter(c).select(key).hint("shuffle_hash") for c in ("n = 1", "n > 1"))
+    once, more = (kept.filter(f"texts = 1 and {c}").select(key).hint("shuffle_hash") for c in ("n = 1", "n > 1"))
+    several = kept.filter("texts > 1").select(key, F.col("fingerprint").alias("_print"))
+    printed = _with_fingerprint(named.join(several.select(key).distinct(), key, "left_semi"), text, fingerprint, "_print")
     return (named.join(once, key, "left_semi")
             .unionByName(named.join(more, key, "left_semi").dropDuplicates([key]))
+            .unionByName(printed.join(several, [key, "_print"], "left_semi").dropDuplicates([key, "_print"]).drop("_print"))
             .unionByName(docs.filter(F.col(key).isNull())))
+
+
+def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
+    """``docs`` with one document of each near-duplicate group: the smallest key, and one row of it.
+
+    A row without a key cannot be named as a group's document; such rows stay as they are.
+    """
+    named = docs.filter(F.col(key).isNotNull())
+    found = grouped(named, key, text, radius)
+    return keep_one(docs, found, key, text, lambda t: int(np.uint64(simhash(t)).view(np.int64)))

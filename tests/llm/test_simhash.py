@@ -117,3 +117,10 @@ def test_documents(spark, documents):
 def test_empty_table(spark, documents):
     assert simhash.near_duplicates(documents([])).count() == 0
     assert simhash.one_per_group(documents([])).count() == 0
+
+
+def test_one_id_with_two_texts(spark, documents):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(80)) for c in "abc")
+    texts = [(7, one), (7, two), (7, two), (8, one), (9, two), (3, three), (5, three), (5, "quite other words here now")]
+    kept = sorted((r["doc_id"], r["text"]) for r in simhash.one_per_group(documents(texts)).collect())
+    assert kept == [(3, three), (5, "quite other words here now"), (7, one), (7, two)]
