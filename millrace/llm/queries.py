@@ -5,13 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import chat, html_text, langid, minhash, mixing, pack, quality, secret_scan, simhash, topk
+from millrace.llm import chat, html_text, langid, minhash, mixing, pack, quality, secret_scan, simhash, token_codes, topk
 from millrace.llm.common import table
+from millrace.session import shared_folder
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 # Targets of the mix: three domains of sources, languages within them, sources alike within a language.
@@ -103,3 +105,10 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], given.schema)
     return chat.digests(chat.formatted_turns(chat.canonical(given.unionByName(more), "conv_id"), "conv_id"), "conv_id")
+
+
+@query
+def op11_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "tokens")
+    token_codes.write(table(spark, sf_dir, "documents"), folder, BYTE_TOKENIZER)
+    return token_codes.documents(spark, folder)

@@ -19,6 +19,7 @@ COLUMNS = {
     "op8_secret_scan": "doc_id n_assign n_access n_hex base_sha256 spans",
     "op9_main_text": "page_id url text n_chars",
     "op10_chat": "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars",
+    "op11_token_codes": "doc_id start n_tokens ids_crc32",
 }
 
 
