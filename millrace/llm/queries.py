@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.llm import chat, html_text, langid, minhash, mixing, pack, quality, secret_scan, simhash, token_codes, topk
+from millrace.llm import chat, html_text, langid, minhash, mixing, pack, periodic_runs, quality, secret_scan, simhash, token_codes, topk
 from millrace.llm.common import table
+from millrace.llm.minhash import let
 from millrace.session import shared_folder
 
 QUERIES: dict = {}
@@ -112,3 +113,33 @@ def op11_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "tokens")
     token_codes.write(table(spark, sf_dir, "documents"), folder, BYTE_TOKENIZER)
     return token_codes.documents(spark, folder)
+
+
+def with_planted_period(words: Column, key: Column) -> Column:
+    """In one text of ten, by crc32 of its key, every word from a place on becomes one of the period that begins there."""
+    h = F.crc32(key.cast("string").cast("binary"))
+    g, n = F.floor(h / 10), F.size(words).cast("bigint")
+    at = F.pmod(g, n)
+    period = 1 + F.floor((n - at) / (3 + F.pmod(g, F.lit(8))))
+
+    def changed(place: Column) -> Column:
+        return F.transform(words, lambda w, i: F.when(i < place["at"], w).otherwise(
+            F.get(words, (place["at"] + F.pmod(i - place["at"], place["period"])).cast("int"))))
+
+    place = F.struct(at.alias("at"), period.alias("period"))
+    return F.when((h % 10 == 0) & (n > 0), let(place, changed)).otherwise(words)
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    planted = let(words, lambda w: F.array_join(with_planted_period(w, F.col("doc_id")), " "))
+    # Only texts that get a period are cut into words here.
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.when(
+        F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0, planted).otherwise(F.col("text")).alias("text"))
+    found = periodic_runs.periodic_runs(docs).withColumn("best", periodic_runs.strongest(F.col("runs")))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))

@@ -20,6 +20,7 @@ COLUMNS = {
     "op9_main_text": "page_id url text n_chars",
     "op10_chat": "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars",
     "op11_token_codes": "doc_id start n_tokens ids_crc32",
+    "op12_periodic_runs": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
 }
 
 
