@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.llm import chat, html_text, langid, minhash, mixing, pack, periodic_runs, quality, secret_scan, simhash, token_codes, topk
+from millrace.llm import chat, html_text, langid, minhash, mixing, pack, periodic_runs, quality, secret_scan, simhash, token_codes, topk, whitening
 from millrace.llm.common import table
 from millrace.llm.minhash import let
 from millrace.session import shared_folder
@@ -143,3 +143,8 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
         F.expr("1000 * best.length div best.period").alias("exponent_milli"),
         F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), 4)
