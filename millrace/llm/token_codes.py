@@ -222,13 +222,14 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, ke
 def blocks(spark: SparkSession, folder: str) -> DataFrame:
     """The blocks of ``write`` with ``start``: the ids of all documents before them.
 
-    The parts' totals are one row for each task that wrote, summed up in a row.
+    The parts' totals are one row for each task that wrote, summed up in a row
+    and broadcast, so that the codes stay where they are.
     """
     found = spark.read.parquet(folder)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = found.groupBy("part").agg(F.sum("n").alias("total")).select(
         "part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
-    return found.join(starts, "part").withColumn("start", F.col("base") + F.col("first")).drop("base", "first")
+    return found.join(F.broadcast(starts), "part").withColumn("start", F.col("base") + F.col("first")).drop("base", "first")
 
 
 def documents(spark: SparkSession, folder: str, key: str = "doc_id", with_ids: bool = False) -> DataFrame:
