@@ -3,11 +3,10 @@ from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+sys.path[:0] = [str(Path(__file__).resolve().parents[1]), str(Path(__file__).resolve().parent)]
 
 from millrace.session import build_session  # noqa: E402
-
-SMALL = "/root/testdata/sf0.001"
+from support import SMALL  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -25,7 +24,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf():
     return SMALL
-
-
-def rows(df):
-    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from millrace.operators.layout import plan_text
 from millrace.sinks import files as sinks
 from millrace.sinks.streams import as_messages

@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from millrace.functions.geo import zone_table
 from millrace.functions.pricing import priced
 from millrace.operators import quality

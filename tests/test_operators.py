@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from millrace.functions import bands, scalars, udfs
 from millrace.functions.geo import CITY_BOX, haversine_km, in_box, make_zones, nearest_zone, zone_table
 from millrace.functions.pricing import smooth_step

@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from millrace.operators.ordered import numbered, ranked_by_value, running_sum, shifted, split_by_order
 
 random.seed(7)

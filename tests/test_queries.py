@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SMALL
+from support import SMALL
 from scripts.check import rows_of
 from millrace.queries import QUERIES, SQL
 from millrace.tables import TABLES

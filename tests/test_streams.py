@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from millrace.functions.geo import zone_table
 from millrace.operators.quality import batch_continuity, delivery_audit
 from millrace.plans import demand, visits
