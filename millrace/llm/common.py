@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -41,6 +42,24 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A ``stored`` for the block: what it wrote is deleted at the end, so results must be stored elsewhere by then."""
+    folder = shared_folder(spark, "scratch")
+    places = iter(range(1 << 30))
+
+    def store(df: DataFrame) -> DataFrame:
+        path = f"{folder}/{next(places)}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield store
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def crc(column: str | Column) -> Column:
     """crc32 of an id written as text."""
     return F.crc32((F.col(column) if isinstance(column, str) else column).cast("string").cast("binary"))

@@ -10,10 +10,8 @@ from millrace.session import checkpointed
 def _smaller_star(edges: DataFrame) -> DataFrame:
     """Every node hangs its smaller neighbours and itself under the smallest of them."""
     low = edges.groupBy("hi").agg(F.min("lo").alias("root"))
-    return (edges.join(low, "hi")
-            .select(F.explode(F.array(F.struct(F.col("root").alias("lo"), F.col("hi")),
-                                      F.struct(F.col("root").alias("lo"), F.col("lo").alias("hi")))).alias("e"))
-            .select("e.*").filter("lo < hi").distinct())
+    return (edges.join(low, "hi").select(F.col("root").alias("lo"), F.col("lo").alias("hi")).filter("lo < hi")
+            .unionByName(low.select(F.col("root").alias("lo"), "hi")).distinct())
 
 
 def _larger_star(edges: DataFrame) -> DataFrame:

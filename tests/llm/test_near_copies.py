@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -52,9 +53,9 @@ def planted(seed):
     return texts + [(9000, None), (9001, " "), (9002, "one"), (9003, "One")]
 
 
-@pytest.mark.parametrize("pairs", [4, 0.5])
-def test_groups_are_those_of_all_pairs(spark, documents, monkeypatch, pairs):
-    monkeypatch.setattr(near_copies, "PAIRS", pairs)
+@pytest.mark.parametrize("group", [512, 20])
+def test_groups_are_those_of_all_pairs(spark, documents, monkeypatch, group):
+    monkeypatch.setattr(near_copies, "GROUP", group)
     texts = planted(3)
     got = {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(documents(texts)).collect()}
     want = plain_groups(texts)
@@ -75,6 +76,16 @@ def test_jaccard_at_the_limit():
     assert jaccard_reaches(x.tobytes(), shingles(" ".join(a)[:-1] + "2").tobytes()) and jaccard_reaches(b"", b"")
 
 
+def test_near_pairs_of_a_group():
+    rng = np.random.default_rng(3)
+    codes = rng.integers(0, 1 << 63, 40, np.uint64) << np.uint64(1)
+    codes = np.concatenate([codes, codes[:30] ^ np.uint64(0xFFF) ^ np.uint64(1 << 40), codes[:5]])
+    a, b = near_copies.near_pairs(codes, 14)
+    apart = np.bitwise_count(codes[:, None] ^ codes[None, :])
+    assert {*zip(a.tolist(), b.tolist())} == {(i, j) for i in range(75) for j in range(i + 1, 75) if apart[i, j] <= 14}
+    assert (np.diff(apart[a, b].astype(int)) >= 0).all()
+
+
 def test_no_documents(spark, documents):
     assert near_copies.near_copies(documents([])).count() == near_copies.one_per_group(documents([])).count() == 0
 
