@@ -6,17 +6,20 @@ the ``available_now`` trigger; what the sink holds afterwards is the result.
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.plans import mapping
 from millrace.queries import trips as _trips  # noqa: F401  its SQL is shared
-from millrace.queries.demand import SLIDE, priced
+from millrace.queries.demand import SIZE, SLIDE, priced, windows as exact_windows
 from millrace.queries.registry import SQL, big, query
-from millrace.queries.views import REQUESTS, UNIFIED, with_
+from millrace.queries.views import REQUESTS, WINDOWS, with_
 from millrace.session import shared_folder
+from millrace.sinks.ledger import Ledger, batches_of, delivered, folder_writer
 from millrace.sinks.streams import parquet_batch, start
 from millrace.sources.stream import csv_files, file_topics, json_files, parquet_files
-from millrace.streaming import alerts, archive, medallion, running, smoothing, windows
+from millrace.streaming import alerts, archive, changelog, medallion, running, smoothing, windows
+from millrace.streaming.metrics import BatchMetrics
 from millrace.tables import CLICKSTREAM, CSV_TRANSACTIONS, DEPARTMENT_EVENTS, read
 
 def landed(df: DataFrame, kind: str = "parquet", files: int = 4, **options: str) -> str:
@@ -132,6 +135,18 @@ def stream_deduplicated(spark, d):
     return written(spark, windows.deduplicated(source, "3650 days")).select("event_id", "event_time")
 
 
+@query("stream_deduplicated_for_ever", "SELECT CAST(event_id AS VARCHAR) AS event_id FROM events")
+def stream_deduplicated_for_ever(spark, d):
+    """Without a watermark: copies that land a run later, with any time, are known all the same."""
+    rows, landing = clicks(spark, d), shared_folder(spark, "landing")
+    out, marks = shared_folder(spark, "stream"), shared_folder(spark, "marks")
+    for days in (0, 4000):
+        rows.withColumn("event_time", F.col("event_time") + F.make_dt_interval(days=F.lit(days))).write.mode("append").parquet(landing)
+        source = windows.deduplicated(parquet_files(spark, landing, CLICKSTREAM), None, by_id_only=True)
+        start(source, "parquet", checkpoint=marks, available_now=True, options={"path": out}).awaitTermination()
+    return spark.read.parquet(out).select("event_id")
+
+
 @query("stream_deduplicated_by_id", "SELECT CAST(event_id AS VARCHAR) AS event_id FROM events")
 def stream_deduplicated_by_id(spark, d):
     rows = clicks(spark, d)
@@ -140,16 +155,23 @@ def stream_deduplicated_by_id(spark, d):
     return written(spark, windows.deduplicated(source, "3650 days", by_id_only=True)).select("event_id")
 
 
-@query("stream_sliding_demand", with_(UNIFIED) + """
-SELECT zone_id, window_start, window_start + INTERVAL 6 HOUR AS window_end, count(*) FILTER (kind = 'request') AS demand
-FROM (SELECT u.*, date_trunc('hour', event_time) - to_hours(k) AS window_start FROM unified u, range(6) AS r(k))
-GROUP BY zone_id, window_start""")
+@query("stream_sliding_demand", with_(WINDOWS) + """
+SELECT zone_id, window_start, window_end, demand, drivers_available, drivers_on_trip, true AS close_to_exact FROM windows""")
 def stream_sliding_demand(spark, d):
-    """Both kinds of events in one stream of sliding windows; drivers are approximate there, demand is exact."""
+    """Both kinds of events in one stream of panes whose driver sketches are united into sliding windows.
+
+    Sketches are exact for a few hundred drivers; ``close_to_exact`` holds both
+    estimates against the exact counts of the batch job, at 2 %.
+    """
     requests, pings = mapping.raw_requests(spark, d), mapping.raw_pings(spark, d)
     streams = [parquet_files(spark, landed(x), x.schema.simpleString()[7:-1].replace(":", " ")) for x in (requests, pings)]
-    out = windows.sliding_demand_supply(*streams, "6 hours", "1 hour", "3650 days")
-    return written(spark, out, "complete").select(big("zone_id").alias("zone_id"), "window_start", "window_end", "demand")
+    panes = written(spark, windows.pane_sketches(*streams, f"{SLIDE} seconds", "3650 days"), "complete")
+    exact = exact_windows(spark, d).select("zone_id", "window_start", F.col("drivers_available").alias("_a"),
+                                           F.col("drivers_on_trip").alias("_b"))
+    near = [F.abs(F.col(x) - F.col(y)) <= 0.02 * F.col(y) for x, y in (("drivers_available", "_a"), ("drivers_on_trip", "_b"))]
+    found = windows.windows_of_panes(panes, SIZE, SLIDE).join(exact, ["zone_id", "window_start"], "left")
+    return found.select(big("zone_id").alias("zone_id"), "window_start", "window_end", "demand", "drivers_available",
+                        "drivers_on_trip", F.coalesce(near[0] & near[1], F.lit(False)).alias("close_to_exact"))
 
 
 @query("stream_smoothed")
@@ -233,3 +255,86 @@ def stream_replayed_batch(spark, d):
     for _ in range(2):
         parquet_batch(out)(rows, 7)
     return spark.read.parquet(out).select("event_id")
+
+
+def _in_two_runs(spark: SparkSession, rows: DataFrame, second, run) -> None:
+    """``run(landing)`` twice, after each half of ``rows`` has landed; those where ``second`` holds come later."""
+    landing = shared_folder(spark, "landing")
+    for half in (~second, second):
+        rows.where(half).write.mode("append").parquet(landing)
+        run(landing)
+
+
+@query("stream_late_rows", """
+WITH parts AS (SELECT ts, event_id % 3 = 0 AS later FROM events),
+mark AS (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 5 DAY AS w FROM parts WHERE NOT later)
+SELECT count(*) AS rows_read, count(*) FILTER (WHERE later AND ts <= w) AS late,
+       count(*) FILTER (WHERE NOT (later AND ts <= w)) AS kept
+FROM parts, mark""")
+def stream_late_rows(spark, d):
+    """A third of the events lands late: what the watermark drops is counted by the stream's own metrics."""
+    out, marks = shared_folder(spark, "stream"), shared_folder(spark, "marks")
+    with BatchMetrics(spark) as metrics:
+        def run(landing: str) -> None:
+            source = windows.deduplicated(parquet_files(spark, landing, CLICKSTREAM), "5 days")
+            metrics.finished(start(source, "parquet", checkpoint=marks, available_now=True, options={"path": out}))
+
+        _in_two_runs(spark, clicks(spark, d), F.col("event_id").cast("bigint") % 3 == 0, run)
+        seen = metrics.table().agg(F.sum("rows_read").alias("rows_read"), F.sum("late_rows").alias("late"))
+    kept = spark.read.parquet(out).agg(F.count(F.lit(1)).alias("kept"))
+    return seen.withColumn("kept", kept.scalar())
+
+
+@query("stream_multi_sink", """
+SELECT sink, count(*) AS rows, sum(event_id) AS ids, 2 AS batches, 2 AS writes
+FROM events, (VALUES ('messages'), ('table')) AS s(sink) GROUP BY sink""")
+def stream_multi_sink(spark, d):
+    """Two sinks, the second of which dies once in the middle of a batch: after the restart both hold every row once."""
+    base, marks = shared_folder(spark, "sinks"), shared_folder(spark, "marks")
+    ledger, writes, broken = Ledger(spark, f"{base}/ledger"), [], ["messages"]
+
+    def watched(name: str, writer):
+        def write(rows: DataFrame, path: str) -> None:
+            writer(rows, path)
+            if name in broken:
+                broken.remove(name)
+                raise RuntimeError("planted: the sink died with its batch half delivered")
+            writes.append(name)
+        return write
+
+    kinds = {"table": "parquet", "messages": "json"}
+    sinks = {name: (watched(name, folder_writer(kind)), f"{base}/{name}") for name, kind in kinds.items()}
+
+    def run(landing: str) -> None:
+        for _ in range(2):
+            query_ = start(parquet_files(spark, landing, CLICKSTREAM), delivered(ledger, sinks), checkpoint=marks, available_now=True)
+            try:
+                return query_.awaitTermination()
+            except StreamingQueryException as died:
+                if "planted" not in str(died):
+                    raise
+        raise RuntimeError("the stream died twice")
+
+    _in_two_runs(spark, clicks(spark, d).select("event_id", "user_id", "event_type", "page", "event_time"),
+                 F.col("event_id").cast("bigint") % 2 == 1, run)
+    count = spark.createDataFrame([(n, writes.count(n)) for n in kinds], "sink string, writes bigint")
+    held = [batches_of(spark, f"{base}/{name}", kind, "event_id string").select(F.lit(name).alias("sink"), "event_id", "batch_id")
+            for name, kind in kinds.items()]
+    return held[0].unionByName(held[1]).groupBy("sink").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col("event_id").cast("bigint")).alias("ids"),
+        F.count_distinct("batch_id").alias("batches")).join(count, "sink")
+
+
+@query("stream_update_merged", f"SELECT department, {_SUMS} FROM {_ORDERS} GROUP BY 1")
+def stream_update_merged(spark, d):
+    """Running totals in update mode: batches emit what changed, the newest row of each key is the table."""
+    out, marks = shared_folder(spark, "changes"), shared_folder(spark, "marks")
+    schema = "department string, transactionCount bigint, totalAmount double, averageAmount double"
+
+    def run(landing: str) -> None:
+        source = parquet_files(spark, landing, DEPARTMENT_EVENTS)
+        start(running.running_totals(source, ["department"]), changelog.change_batch(out), mode="update", checkpoint=marks,
+              available_now=True).awaitTermination()
+
+    _in_two_runs(spark, department_events(spark, d), F.col("transactionId").cast("bigint") % 2 == 1, run)
+    return changelog.newest(changelog.read_changes(spark, out, schema), ["department"]).drop("averageAmount")

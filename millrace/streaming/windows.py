@@ -37,8 +37,14 @@ def tumbling_totals_on_arrival(rows: DataFrame, key: str = "department", amount:
                     "transactionCount", "totalAmount", "averageAmount"))
 
 
-def deduplicated(events: DataFrame, watermark: str = "10 minutes", by_id_only: bool = False) -> DataFrame:
-    """One event per (id, time) inside the watermark; ``by_id_only`` ignores differing times."""
+def deduplicated(events: DataFrame, watermark: str | None = "10 minutes", by_id_only: bool = False) -> DataFrame:
+    """One event per (id, time) inside the watermark; ``by_id_only`` ignores differing times.
+
+    Without a watermark every id is remembered for ever: no copy passes however
+    late it comes, and the state grows with the number of different events.
+    """
+    if watermark is None:
+        return events.dropDuplicates(["event_id"] if by_id_only else ["event_id", "event_time"])
     marked = events.withWatermark("event_time", watermark)
     if by_id_only:
         return marked.dropDuplicatesWithinWatermark(["event_id"])
@@ -63,3 +69,39 @@ def sliding_demand_supply(requests: DataFrame, pings: DataFrame, size: str = "5
                  drivers("AVAILABLE").alias("drivers_available"), drivers("ON_TRIP").alias("drivers_on_trip"))
             .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "zone_id",
                     "demand", "drivers_available", "drivers_on_trip"))
+
+
+# Sketches of 2 ** 14 registers: a standard error of 0.8 %; up to some hundreds of drivers they are exact.
+SKETCH_BITS = 14
+
+
+def pane_sketches(requests: DataFrame, pings: DataFrame, slide: str = "1 minute", watermark: str = "10 minutes") -> DataFrame:
+    """Per zone and slide: demand, and mergeable sketches of the free and the busy drivers.
+
+    An event counts in one pane, not in every window that covers it, so the
+    state holds one sketch a zone and slide whatever the windows' length.
+    """
+    events = deduplicated(union_events(requests, pings), watermark)
+
+    def drivers(status: str):
+        chosen = (F.col("kind") == "ping") & (F.col("status") == status)
+        return F.hll_sketch_agg(F.when(chosen, F.col("driver_id")), F.lit(SKETCH_BITS))
+
+    return (events.groupBy(F.window("event_time", slide).alias("pane"), "zone_id")
+            .agg(F.count_if(F.col("kind") == "request").alias("demand"),
+                 drivers("AVAILABLE").alias("available"), drivers("ON_TRIP").alias("on_trip"))
+            .select(F.col("pane.start").alias("pane_start"), "zone_id", "demand", "available", "on_trip"))
+
+
+def windows_of_panes(panes: DataFrame, size_seconds: int = 300, slide_seconds: int = 60) -> DataFrame:
+    """Sliding windows from stored panes: demands add up, sketches are united, so a driver in two panes counts once."""
+    if size_seconds % slide_seconds:
+        raise ValueError("the window size must be a multiple of the slide")
+    start = F.unix_timestamp("pane_start")
+    covering = F.explode(F.sequence(start - (size_seconds - slide_seconds), start, F.lit(slide_seconds)))
+    united = panes.withColumn("_start", covering).groupBy("zone_id", "_start").agg(
+        F.sum("demand").alias("demand"), *(F.hll_sketch_estimate(F.hll_union_agg(c)).alias(f"drivers_{c}")
+                                           for c in ("available", "on_trip")))
+    return united.select("zone_id", F.timestamp_seconds("_start").alias("window_start"),
+                         F.timestamp_seconds(F.col("_start") + size_seconds).alias("window_end"), "demand",
+                         "drivers_available", "drivers_on_trip")
