@@ -5,7 +5,6 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 from html import escape
 
 import numpy as np
@@ -13,9 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.common import mapped, sampled
-from millrace.llm.html_blocks import Block, blocks
+from millrace.llm.html_blocks import PATH_BUCKETS, Block, Element, blocks, bucket
 
-PATH_BUCKETS = 192
 WORD_BUCKETS = 64
 HIDDEN = 24
 NUMBERS = 8
@@ -33,17 +31,20 @@ _ASIDE = {"nav", "aside", "footer", "form", "header", "button", "select", "dialo
           ".ads", ".advert", ".sidebar", ".related", ".share", ".cookie", ".newsletter", ".notice", ".banner"}
 
 
-@lru_cache(maxsize=20_000)
-def _path_buckets(path: tuple[str, ...]) -> np.ndarray:
-    """Buckets of a path's names, and of the nearest ones by how near they stand."""
-    names = [*path, *(f"{depth}{name}" for depth, name in enumerate(path[:-3:-1]))]
-    return np.array([zlib.crc32(name.encode()) % PATH_BUCKETS for name in names], np.intp)
+def _path_bits(block: Block) -> np.ndarray:
+    """Buckets of the names on a block's path, and of the two nearest ones by how near they stand."""
+    bits = 0
+    if block.at:
+        bits = block.at.hashed
+        for depth, name in enumerate(reversed(block.at.last)):
+            bits |= bucket(f"{depth}{name}")
+    return np.unpackbits(np.frombuffer(bits.to_bytes(PATH_BUCKETS // 8, "little"), np.uint8), bitorder="little")
 
 
 def vector(block: Block, place: float) -> np.ndarray:
     """A block's input: hashed tags and names of its path, hashed words, and a few numbers."""
     x = np.zeros(WIDTH, np.float32)
-    x[_path_buckets(block.path)] = 1
+    x[:PATH_BUCKETS] = _path_bits(block)
     words = block.text.lower().encode().split()
     counts = np.bincount(np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % WORD_BUCKETS,
                          minlength=WORD_BUCKETS)
@@ -51,7 +52,8 @@ def vector(block: Block, place: float) -> np.ndarray:
     n = len(block.text)
     signs = sum(map(block.text.count, ".,;:!?"))
     x[-NUMBERS:] = (np.log1p(n) / 8, np.log1p(len(words)) / 6, block.linked / n, min(1.0, 10 * signs / n),
-                    block.text[-1] in ".!?", block.text[0].isupper(), place, len(block.path) / 10)
+                    block.text[-1] in ".!?", block.text[0].isupper(), place,
+                    (block.at.depth if block.at else 0) / 10)
     return x
 
 
@@ -180,11 +182,23 @@ class Labeller:
                     p -= RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
 
 
+def _inside(page: list[Block], names: set[str]) -> np.ndarray:
+    """Which blocks stand inside an element with one of the names; every element is looked at once."""
+    known: dict[Element | None, bool] = {None: False}
+    for block in page:
+        above, e = [], block.at
+        while e not in known:
+            above.append(e)
+            e = e.up
+        for e in reversed(above):
+            known[e] = known[e.up] or not names.isdisjoint(e.own)
+    return np.array([known[b.at] for b in page], bool)
+
+
 def ruled(page: list[Block]) -> np.ndarray | None:
     """Labels by the page's own article or main element; None if it has none."""
-    if not any(_MAIN & set(b.path) for b in page):
-        return None
-    return np.array([bool(_MAIN & set(b.path)) and not _ASIDE & set(b.path) for b in page], np.float32)
+    main = _inside(page, _MAIN)
+    return (main & ~_inside(page, _ASIDE)).astype(np.float32) if main.any() else None
 
 
 _HOLDERS = [("article", ""), ("main", ""), ("div", "content"), ("div", "main-content"), ("div", "post-body"),
@@ -298,8 +312,9 @@ def extract(pages: DataFrame, labeller: Labeller, key: str = "page_id", html: st
             also: list[str] | None = None) -> DataFrame:
     """(key, also..., text, n_chars): the main text of every page, its blocks joined by one blank.
 
-    Null and empty pages, and pages without main text, give an empty text.
-    Nothing is cut, whatever a page's length.
+    Every row gives a row, also a repeated one and one with a null key.  Null and
+    empty pages, and pages without main text, give an empty text.  Nothing is
+    cut, whatever a page's length, depth or broken markup.
     """
     names = [key, *(also or [])]
     source = pages.select(*(F.col(n).alias(f"k{i}") for i, n in enumerate(names)), F.col(html).alias("html"))

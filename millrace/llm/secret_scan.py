@@ -94,17 +94,20 @@ def scan_texts(texts: list[str | None], rules: tuple[Rule, ...] = RULES) -> list
     states = automaton.states(data)
     ends = np.flatnonzero(hit[states])
     first = np.cumsum([0, *(len(e) + 1 for e in encoded)])
-    done = (-1, -1)
+    # The last line looked at: its text, where the next may begin, and bytes and code points of the text counted so far.
+    last, until, counted, before = -1, -1, 0, 0
     for at in ends.tolist():
-        if at < done[1]:
+        if at < until:
             continue
         i = int(np.searchsorted(first, at, side="right")) - 1
         text, inside = encoded[i], at - int(first[i])
         start = text.rfind(b"\n", 0, inside) + 1
         end = text.find(b"\n", inside)
         end = len(text) if end < 0 else end
-        done = (i, int(first[i]) + end)
-        before = len(text[:start].decode())
+        if i != last:
+            last, counted, before = i, 0, 0
+        before += len(text[counted:start].decode())
+        until, counted = int(first[i]) + end, start
         found[i] += [(a + before, kind, b + before) for a, kind, b in spans(text[start:end].decode(), rules)]
     opened = ends[automaton.accept[states[ends]] & wide != 0]
     for i in np.unique(np.searchsorted(first, opened, side="right") - 1).tolist():
@@ -125,7 +128,8 @@ def redacted(text: str, found: list[tuple[int, int, int]], mark: str) -> str:
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, spans array of (kind, start, end)) of every row: offsets in code points, end exclusive.
 
-    Spans stand by start, then by the order of RULES.  A null or empty text has none.
+    Spans stand by start, then by the order of RULES.  A null or empty text has
+    none.  Every row gives a row, also a repeated one and one with a null key.
     """
     source = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = dict(source.dtypes)["key"]

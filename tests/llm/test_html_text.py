@@ -26,6 +26,76 @@ def test_paths_follow_implied_ends():
     assert [b.linked for b in page] == [0, 0, 5, 0, 0]
 
 
+@pytest.mark.parametrize("unit, tail", [
+    ("<a ", ""), ("<a ", ">"), ("<div><p>x", ""), ("<span>x", ""), ('<a ">"', ""), ("<script ", ""), ("<!-- ", ""), ("</x>", ""),
+    ("<foo><dd><div><foo><dt></dt>", ""), ("<a '>x", '"'), ("< ", ">"), ("<b x=\"'>y", ""), ("<li><ul>x", "</ul>" * 9000)])
+def test_time_is_in_proportion_to_broken_pages(unit, tail):
+    import time
+    took = []
+    for n in (8_000, 32_000):
+        began = time.perf_counter()
+        page = blocks(unit * n + tail)
+        html_text.vectors(page[-50:])
+        html_text.ruled(page)
+        took.append(time.perf_counter() - began)
+    assert took[1] < 5 and took[1] < 7 * took[0] + 0.1  # the largest page has 0.9 MB
+
+
+def test_tags_without_an_end_among_others():
+    page = "<p>one</p><a \">\"<p>two</p><a \">\"<b>three</b> <i x='>four"
+    assert [b.text for b in blocks(page)] == ["one", "two", "three four"] == plain_texts(page)
+    rng = np.random.default_rng(5)
+    for _ in range(300):  # what a plain reading of the same rules finds
+        html = "".join(rng.choice(["<p>", "</p>", "<a '", '<b "', ">", "'", '"', "x", "<li>", "<ul>", "</ul>", "<!--", "-->", "<div>"], 30))
+        assert [b.text for b in blocks(html)] == plain_texts(html)
+
+
+def plain_texts(html):
+    """Texts between markup, read with no memory of what failed before."""
+    from html import unescape
+
+    from millrace.llm import html_blocks as hb
+    out, parts, at = [], [], 0
+    begin = html.find("<")
+    while begin >= 0:
+        mark = hb._MARKUP.match(html, begin)
+        if mark is None:
+            begin = html.find("<", begin + 1)
+            continue
+        parts.append(html[at:begin])
+        at = mark.end()
+        begin = html.find("<", at)
+        if mark[3] and mark[3].lower() not in hb.INLINE:
+            out.append("".join(parts))
+            parts = []
+    out.append("".join(parts) + html[at:])
+    return [t for t in (" ".join(unescape(x).split()) for x in out) if t]
+
+
+# Pages written by hand, in layouts that no training page has.
+FOREIGN = [
+    ("""<html><body bgcolor=white><table width=100%><tr><td colspan=2><font size=5>Harbour Gazette</font></td></tr>
+     <tr><td><ul class=nav><li><a href=/>Start</a><li><a href=/sport>Sport</a><li><a href=/shop>Shop</a></ul></td>
+     <td class="text story"><h2>Ferry service returns after the storm</h2>
+     <p>The morning ferry left the harbour on time for the first time in nine days, with forty passengers on board.</p>
+     <p>Crews had worked through three nights to clear the channel, the harbour master said, and more work is planned.</p></td></tr>
+     <tr><td colspan=2 class=footer><a href=/imprint>Imprint</a> <a href=/privacy>Privacy</a></td></tr></table></body></html>""",
+     ["Ferry service returns", "The morning ferry left", "Crews had worked"], ["Sport", "Imprint"]),
+    ("""<body><header class=masthead><h3>Notes</h3></header><div class="cookie-banner"><p>We use cookies.</p><button>Accept</button></div>
+     <main><article><h1>A walk along the old canal</h1><p>The towpath begins behind the mill, where two stone bridges cross the water.</p>
+     <aside class="ad"><p>Buy boots today!</p></aside><p>After a mile the trees close in, and the noise of the road is gone for good.</p></article></main>
+     <section id=comments class=comments><p>Great walk, did it last week with the dog.</p></section><footer><p>All rights reserved</p></footer></body>""",
+     ["A walk along", "The towpath begins", "After a mile"], ["We use cookies", "Buy boots", "Great walk", "All rights"]),
+]
+
+
+@pytest.mark.parametrize("html, main, rest", FOREIGN)
+def test_foreign_layouts(trained, html, main, rest):
+    page = blocks(html)
+    chosen = " ".join(b.text for b, c in zip(page, trained.chances([html_text.vectors(page)])[0]) if c >= 0.5)
+    assert all(m in chosen for m in main) and not any(r in chosen for r in rest), chosen
+
+
 def test_gradients_are_those_of_the_loss():
     rng = np.random.default_rng(0)
     model = html_text.Labeller.fresh()

@@ -25,6 +25,18 @@ def test_spans_equal_plain_matching(seed):
     assert scan.scan_texts(texts) == [brute(t) for t in texts]
 
 
+def test_time_is_in_proportion_to_a_long_log():
+    import time
+    took = []
+    for n in (10_000, 40_000):
+        text = "é 2024 user=é token='abcdef0123456789abcd' done, nothing else\n" * n
+        began = time.perf_counter()
+        found = scan.scan_texts([text, "x", text[:200]])
+        took.append(time.perf_counter() - began)
+        assert len(found[0]) == 2 * n and found[0][-2:] == [(a + 62 * (n - 1), k, b + 62 * (n - 1)) for a, k, b in found[2][:2]]
+    assert took[1] < 6 * took[0] + 0.2
+
+
 def test_a_dropped_match_keeps_its_place():
     text = "token=secret: abcdefghijklmnop"  # the short value is dropped, but "secret" was used up
     assert brute(text) == scan.scan_texts([text])[0] == []
