@@ -63,27 +63,46 @@ def lookup_join(df: DataFrame, names: DataFrame, key: str, value: str, default:
             .withColumn(value, F.coalesce(F.col(value), F.lit(default))))
 
 
-GRAM = 3  # characters by which a term finds its candidates
+GRAMS = (1, 2, 3, 6)  # lengths of the pieces by which a term finds its candidates: the longest that fits
+
+
+def _grams(text: str, sizes: Column) -> Column:
+    """The different pieces of a text that have one of the lengths."""
+    at = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))
+    pieces = F.flatten(F.transform(sizes, lambda n: F.filter(
+        F.transform(at, lambda i: F.col(text).substr(i, n)), lambda g: F.length(g) == n)))
+    return F.array_distinct(pieces)
+
+
+def gram_pairs(terms: DataFrame, term: str, names: DataFrame) -> DataFrame:
+    """(term, _text, _name, _found): every term beside the names that hold its rarest piece.
+
+    The names' pieces are counted first, as far as terms ask for them; a term
+    then probes with the one that fewest names have, so a beginning that all
+    names share brings nobody together.  Names with the same text are one.
+    """
+    asked = terms.select(term, F.lower(F.trim(term)).alias("_text")).where(F.length("_text") > 0)
+    longest = [F.when(F.length("_text") >= n, n) for n in reversed(GRAMS)]
+    pieces = asked.withColumn("_gram", F.explode(_grams("_text", F.array(F.coalesce(*longest)))))
+    texts = names.groupBy(F.lower("name").alias("_name")).agg(F.min("id").alias("_found"))
+    index = texts.withColumn("_gram", F.explode(_grams("_name", F.array(*map(F.lit, GRAMS)))))
+    counts = index.join(pieces.select("_gram").distinct(), "_gram", "left_semi").groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = pieces.join(counts, "_gram", "left").groupBy(term, "_text").agg(
+        F.min_by("_gram", F.struct(F.coalesce("_n", F.lit(0)), "_gram")).alias("_gram"))
+    return rarest.join(index, "_gram").drop("_gram")
 
 
 def resolved(terms: DataFrame, term: str, names: DataFrame) -> DataFrame:
     """Each distinct term with the lowest ``id`` of ``names`` (id, name) that it means, or null.
 
     A term that is an id means that row; else any name that contains it,
-    whatever its case and padding.  Candidates are found by an equality on the
-    term's first GRAM characters, never by comparing every term with every name.
-    Names with the same text are one candidate.
+    whatever its case and padding.  Candidates are the names that hold the
+    term's rarest piece, never all names.
     """
-    plain = F.lower(F.trim(term))
-    asked = terms.select(term, plain.alias("_text"), plain.try_cast("bigint").alias("_id"),
-                         F.substring(plain, 1, GRAM).alias("_gram"))
+    asked = terms.select(term, F.lower(F.trim(term)).try_cast("bigint").alias("_id"))
     by_id = asked.join(names.select(F.col("id").alias("_id")).distinct(), "_id").select(term, F.col("_id").alias("_exact"))
-    texts = names.groupBy(F.lower("name").alias("_name")).agg(F.min("id").alias("_found"))
-    grams = F.array_distinct(F.flatten(F.transform(
-        F.sequence(F.lit(1), F.greatest(F.length("_name"), F.lit(1))),
-        lambda i: F.transform(F.sequence(F.lit(1), F.lit(GRAM)), lambda n: F.col("_name").substr(i, n)))))
-    pairs = asked.where(F.length("_text") > 0).join(texts.withColumn("_gram", F.explode(grams)), "_gram")
-    by_text = (pairs.where(F.contains("_name", "_text")).groupBy(term).agg(F.min("_found").alias("_part")))
+    by_text = (gram_pairs(terms, term, names).where(F.contains("_name", "_text"))
+               .groupBy(term).agg(F.min("_found").alias("_part")))
     return (asked.select(term).join(by_id, term, "left").join(by_text, term, "left")
             .select(term, F.coalesce("_exact", "_part").alias("id")))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators import quality
+from millrace.operators.intervals import counted_within
 from millrace.operators.joins import windows_with_events
 from millrace.plans import mapping, transactions, trips
 from millrace.queries.demand import SIZE, SLIDE, windows_once
@@ -116,6 +117,20 @@ def reconcile_windows(spark, d):
                     (F.col("demand") == F.col("recounted")).alias("matched")))
 
 
+@query("reconcile_ranges", with_(REQUESTS) + """,
+ranges AS (SELECT DISTINCT zone_id, event_time AS begins, event_time + to_minutes(event_id * 7919 % 9973 - 40) AS ends
+           FROM requests WHERE event_id % 4 = 0)
+SELECT r.zone_id, begins, ends, count(q.event_id) AS events
+FROM ranges r LEFT JOIN requests q ON q.zone_id = r.zone_id AND q.event_time >= begins AND q.event_time < ends GROUP BY 1, 2, 3""")
+def reconcile_ranges(spark, d):
+    """Windows of any begin and length, some of them backwards, recounted from the raw requests."""
+    requests = mapping.raw_requests(spark, d)
+    length = F.make_dt_interval(mins=(F.col("event_id") * 7919 % 9973 - 40).cast("int"))
+    ranges = requests.where("event_id % 4 = 0").select("zone_id", F.col("event_time").alias("begins"),
+                                                       (F.col("event_time") + length).alias("ends"))
+    return counted_within(ranges, requests, "zone_id", "begins", "ends", "event_time").withColumn("zone_id", big("zone_id"))
+
+
 def _batches(spark, d):
     """Events as archived batches of 40 rows; every 23rd batch is missing, every 31st one short."""
     ev = read(spark, d, "events").select("event_id", F.floor(F.col("event_id") / 40).cast("bigint").alias("batch_id"))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions import scalars as s
-from millrace.functions.geo import haversine_km, in_box, nearest_zone
+from millrace.functions.geo import haversine_km, in_box, zone_table
 from millrace.operators.joins import resolved
+from millrace.operators.nearest import nearest
 from millrace.plans import mapping
 from millrace.queries.registry import big, day, query
 from millrace.queries.views import POSITIONS, TRIPS, ZONES, with_
@@ -154,6 +155,23 @@ def haversine(spark, d):
     return mapping.positions(spark, d).select("event_id", F.round(km, 6).alias("km"))
 
 
+@query("resolve_supplier", """
+SELECT wanted, (SELECT min(s_suppkey) FROM supplier WHERE contains(lower(s_name), lower(trim(wanted)))) AS supplier_key
+FROM (SELECT DISTINCT ' ' || upper(substr(s_name, 1 + s_suppkey % 14)) AS wanted FROM supplier
+      UNION SELECT DISTINCT substr(s_name, 5, 9) FROM supplier UNION SELECT 'Supplier#x' || s_nationkey FROM supplier)
+WHERE try_cast(trim(wanted) AS BIGINT) IS NULL""")
+def resolve_supplier(spark, d):
+    """Names that all begin alike: a term's rarest piece finds its candidates."""
+    supplier = read(spark, d, "supplier")
+    cut = F.col("s_name").substr(F.lit(1) + (F.col("s_suppkey") % 14).cast("int"), F.length("s_name"))
+    wanted = (supplier.select(F.concat(F.lit(" "), F.upper(cut)).alias("wanted"))
+              .unionAll(supplier.select(F.substring("s_name", 5, 9)))
+              .unionAll(supplier.select(F.concat(F.lit("Supplier#x"), "s_nationkey"))).distinct())
+    wanted = wanted.where(F.trim("wanted").try_cast("bigint").isNull())
+    names = supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
+    return resolved(wanted, "wanted", names).withColumnRenamed("id", "supplier_key")
+
+
 @query("in_bbox", with_(POSITIONS) + """
 SELECT event_id, lat BETWEEN 17.10 AND 17.75 AND lon BETWEEN 78.15 AND 78.75 AS inside FROM positions""")
 def in_bbox(spark, d):
@@ -164,8 +182,22 @@ def in_bbox(spark, d):
 SELECT event_id, arg_min(zone_id, (power(latitude - lat, 2) + power((longitude - lon) * cos(radians(lat)), 2), zone_id)) AS zone_id
 FROM (SELECT event_id, lat, lon, zone_id, latitude, longitude FROM positions, zones) GROUP BY event_id""")
 def nearest_zone_query(spark, d):
-    return mapping.positions(spark, d).select(
-        "event_id", big(nearest_zone(F.col("lat"), F.col("lon"), mapping.zones())).alias("zone_id"))
+    found = nearest(mapping.positions(spark, d), "lat", "lon", zone_table(spark), "zone_id", "latitude", "longitude")
+    return found.select("event_id", big("zone_id").alias("zone_id"))
+
+
+@query("nearest_customer", with_(POSITIONS) + """,
+homes AS (SELECT c_custkey, CAST(17.0 AS DOUBLE) + (c_custkey * 6007 % 9973) / 9973 AS y,
+                 CAST(78.0 AS DOUBLE) + power((c_custkey * 3571 % 9967) / 9967, 3) AS x FROM customer)
+SELECT event_id, arg_min(c_custkey, (power(y - lat, 2) + power((x - lon) * cos(radians(lat)), 2), c_custkey)) AS c_custkey
+FROM positions, homes GROUP BY event_id""")
+def nearest_customer(spark, d):
+    """A table of places that grows with the data and crowds in the west, not a list in the query."""
+    key = F.col("c_custkey")
+    homes = read(spark, d, "customer").select(
+        "c_custkey", (F.lit(17.0) + (key * 6007 % 9973) / 9973).alias("y"),
+        (F.lit(78.0) + F.pow((key * 3571 % 9967) / 9967, F.lit(3))).alias("x"))
+    return nearest(mapping.positions(spark, d), "lat", "lon", homes, "c_custkey", "y", "x").select("event_id", "c_custkey")
 
 
 @query("tariff_fare", """
