@@ -23,7 +23,7 @@ HEADLINE = [
     "win_row_number", "win_rank", "win_running_sum", "win_top1", "surrogate_key",
     "validate_transactions", "valid_trips", "reconcile_windows", "incremental_upsert",
     "sliding_demand_supply", "surge_rules", "surge_smoothed", "nearest_zone",
-    "zone_hour_kpis", "driver_payout", "fact_trips", "bench_q1", "features_full",
+    "zone_hour_kpis", "driver_payout", "fact_trips", "fact_partition_pruned", "bench_q1", "features_full",
 ]
 
 

@@ -60,3 +60,24 @@ def require_columns(df: DataFrame, contract: Sequence[tuple[str, str]]) -> DataF
     if wrong:
         raise TypeError(f"schema contract broken (column, wanted, found): {wrong}")
     return df.select(*[name for name, _ in contract])
+
+
+def salt_plan(df: DataFrame, key: str, partitions: int, most: int = 100) -> DataFrame:
+    """(``key``, salts) of the values that hold more than a quarter of a partition's share of the rows.
+
+    One pass with a sketch of the ``most`` commonest values finds them; each gets
+    salts in proportion to its count, four for every partition that it fills.
+    The plan has at most ``most`` rows, whatever the table.
+    """
+    found = df.agg(F.count(F.lit(1)).alias("_all"), F.expr(f"approx_top_k(`{key}`, {most}, {10 * most})").alias("_top"))
+    salts = F.ceil(4 * partitions * F.col("t.count") / F.col("_all")).cast("int")
+    return (found.select("_all", F.explode("_top").alias("t")).select(F.col("t.item").alias(key), salts.alias("salts"))
+            .where("salts > 1"))
+
+
+def planned_repartition(df: DataFrame, key: str, spread_by: Sequence[str], plan: DataFrame, partitions: int) -> DataFrame:
+    """Repartition by ``key``; the rows of a value in ``plan`` are dealt over its salts by a hash of ``spread_by``."""
+    salt = F.pmod(F.xxhash64(*spread_by), F.coalesce("_salts", F.lit(1)))
+    marked = df.alias("l").join(F.broadcast(plan.select(F.col(key).alias("_key"), F.col("salts").alias("_salts"))),
+                                F.col(key).eqNullSafe(F.col("_key")), "left")
+    return marked.withColumn("_salt", salt).repartition(partitions, key, "_salt").select(*df.columns)

@@ -62,8 +62,12 @@ def features(requests: DataFrame, weather: DataFrame | None = None, holidays: li
              zone: str = "zone_id", time: str = "request_time", seconds: int = BIN_SECONDS) -> DataFrame:
     """All model inputs and the next bin's demand ``y_next``; nothing looks ahead but the target."""
     grid = demand_grid(requests, zone, time, seconds)
-    grid = with_lags(grid, "zone_id", "bin", "demand", LAGS, seconds)
-    grid = with_rolling_means(grid, "zone_id", "bin", "demand", ROLLING, seconds)
+    def bins(counted: dict[str, int]) -> dict[str, int]:
+        """Numbers of half hours as numbers of bins, one at least: a lag stays a time whatever the bins' width."""
+        return {name: n if abs(n) == 1 else max(1, round(n * BIN_SECONDS / seconds)) for name, n in counted.items()}
+
+    grid = with_lags(grid, "zone_id", "bin", "demand", bins(LAGS), seconds)
+    grid = with_rolling_means(grid, "zone_id", "bin", "demand", bins(ROLLING), seconds)
     return with_weather(with_calendar(grid, holidays), weather)
 
 

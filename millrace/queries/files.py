@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators.layout import partition_count, salted_repartition, shrink, spread
+from millrace.operators.layout import (partition_count, planned_repartition, salt_plan, salted_repartition, shrink,
+                                       spread)
 from millrace.plans import mapping
 from millrace.queries.registry import big, query
 from millrace.queries.streams import landed
@@ -15,11 +16,25 @@ from millrace.sources.incremental import full_refresh, import_changes, read_vers
 from millrace.tables import TRANSACTIONS_TEXT, read
 
 
-@query("csv_report", "SELECT c_custkey, c_name, c_mktsegment FROM customer")
+@query("csv_report", """SELECT c_mktsegment, count(*) AS customers, count(DISTINCT c_nationkey) AS nations,
+CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance, 1 AS files FROM customer GROUP BY 1""")
 def csv_report(spark, d):
-    """One file with a header, read back with inferred types."""
+    """A report of a row per segment: one file with a header, read back with inferred types."""
     path = shared_folder(spark, "report")
-    sinks.report_csv(read(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment"), path)
+    sinks.report_csv(read(spark, d, "customer").groupBy("c_mktsegment").agg(
+        F.count(F.lit(1)).alias("customers"), F.count_distinct("c_nationkey").alias("nations"),
+        F.sum(F.col("c_acctbal").cast("decimal(18,2)")).cast("double").alias("balance")), path)
+    back = batch.csv_table(spark, path, None)
+    files = back.select(F.input_file_name().alias("f")).agg(F.count_distinct("f").alias("n")).scalar()
+    return back.select("c_mktsegment", big("customers").alias("customers"), big("nations").alias("nations"), "balance",
+                       files.alias("files"))
+
+
+@query("csv_export", "SELECT c_custkey, c_name, c_mktsegment FROM customer")
+def csv_export(spark, d):
+    """A whole table as CSV: as many files as its partitions, none of them through one task."""
+    path = shared_folder(spark, "export")
+    sinks.report_csv(read(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment"), path, files=None)
     return batch.csv_table(spark, path, None).withColumn("c_custkey", big("c_custkey"))
 
 
@@ -132,6 +147,17 @@ def zone_map(spark, d):
         F.count(F.lit(1)).alias("zones"), F.min("zone_id").alias("first_zone"), F.max("zone_id").alias("last_zone"))
 
 
+@query("planned_layout", "SELECT l_returnflag, count(*) AS row_count, true AS salted, true AS even FROM lineitem GROUP BY 1")
+def planned_layout(spark, d):
+    """Hot flags are found and salted by their counts; no task gets more than three times its share."""
+    lines = read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    plan = salt_plan(lines, "l_returnflag", 16)
+    dealt = planned_repartition(lines, "l_returnflag", ["l_orderkey", "l_linenumber"], plan, 16).withColumn("p", F.spark_partition_id())
+    most = dealt.groupBy("p").count().agg((F.max("count") <= 3 * F.sum("count") / 16).alias("even")).scalar()
+    return (dealt.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("row_count"), (F.count_distinct("p") > 2).alias("salted"))
+            .withColumn("even", most))
+
+
 @query("layouts", "SELECT count(*) AS row_count, 8 AS spread_to, 2 AS shrunk_to, true AS hot_key_in_many FROM lineitem")
 def layouts(spark, d):
     """Repartition, coalesce and a salted repartition of a hot flag: how many partitions each gives."""

@@ -52,16 +52,20 @@ def join_full(spark, d):
 
 
 @query("join_hot_keys", _SIDES + """
-SELECT coalesce(u.status, r.status) AS status, u.n AS orders, r.n AS lines
-FROM (SELECT order_key % 3 AS status, count(*) AS n FROM u GROUP BY 1) u
-FULL JOIN (SELECT order_key % 7 AS status, count(*) AS n FROM r GROUP BY 1) r ON u.status = r.status""")
+SELECT account < 0 AS is_hot, count(*) AS row_count, count(o_totalprice) AS orders, count(l_quantity) AS lines
+FROM (SELECT coalesce(a.account, b.account) AS account, o_totalprice, l_quantity
+      FROM (SELECT CASE order_key WHEN 1 THEN -1 WHEN 2 THEN -2 ELSE order_key END AS account, o_totalprice FROM u) a
+      FULL JOIN (SELECT CASE WHEN order_key % 3 = 0 THEN -1 WHEN order_key % 7 = 0 THEN -3 ELSE order_key END AS account,
+                        l_quantity FROM r) b ON a.account = b.account) GROUP BY 1""")
 def join_hot_keys(spark, d):
-    """A full join in which a few keys hold all rows: they are measured and joined apart."""
+    """A full join of rows in which one key holds a third of a side: hot keys are measured and joined apart."""
     orders, lines = _sides(spark, d)
-    left = orders.groupBy((F.col("order_key") % 3).alias("status")).agg(F.count(F.lit(1)).alias("orders"))
-    right = lines.groupBy((F.col("order_key") % 7).alias("status")).agg(F.count(F.lit(1)).alias("lines"))
-    hot = hot_keys(lines.select((F.col("order_key") % 7).alias("status")), ["status"])
-    return hot_safe_join(left, right, ["status"], "full", hot)
+    key = F.col("order_key")
+    left = orders.select(F.when(key == 1, -1).when(key == 2, -2).otherwise(key).alias("account"), "o_totalprice")
+    right = lines.select(F.when(key % 3 == 0, -1).when(key % 7 == 0, -3).otherwise(key).alias("account"), "l_quantity")
+    joined = hot_safe_join(left, right, ["account"], "full", hot_keys(right, ["account"]))
+    return joined.groupBy((F.col("account") < 0).alias("is_hot")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.count("o_totalprice").alias("orders"), F.count("l_quantity").alias("lines"))
 
 
 @query("join_anti", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from millrace.operators.layout import partition_count
 from millrace.plans import mapping
 from millrace.queries import trips as _trips  # noqa: F401  its SQL is shared
 from millrace.queries.demand import SIZE, SLIDE, priced, windows as exact_windows
@@ -23,9 +24,9 @@ from millrace.streaming.metrics import BatchMetrics
 from millrace.tables import CLICKSTREAM, CSV_TRANSACTIONS, DEPARTMENT_EVENTS, read
 
 def landed(df: DataFrame, kind: str = "parquet", files: int = 4, **options: str) -> str:
-    """``df`` as files of a new folder."""
+    """``df`` as files of a new folder: as many as its partitions, but ``files`` at least."""
     path = shared_folder(df.sparkSession, "landing")
-    df.repartition(files).write.options(**options).format(kind).save(path)
+    df.repartition(max(files, partition_count(df))).write.options(**options).format(kind).save(path)
     return path
 
 
@@ -178,7 +179,9 @@ def stream_sliding_demand(spark, d):
 def stream_smoothed(spark, d):
     """Step-limited multipliers from a state per zone, equal to the batch recurrence."""
     rows = priced(spark, d).select(F.col("zone_id").cast("int").alias("zone_id"), "window_end", "surge_multiplier")
-    source = parquet_files(spark, landed(rows, files=1), "zone_id int, window_end timestamp, surge_multiplier double")
+    landing = shared_folder(spark, "landing")
+    rows.repartitionByRange("window_end").write.parquet(landing)
+    source = parquet_files(spark, landing, "zone_id int, window_end timestamp, surge_multiplier double")
     return written(spark, smoothing.smoothed(source, SLIDE)).withColumn("zone_id", big("zone_id"))
 
 
@@ -200,7 +203,7 @@ def stream_medallion(spark, d):
         "driver_id", "zone_id", "lat", "lon", "status", F.lit("live").alias("source"))
     base = shared_folder(spark, "lake")
     for name, rows in (("trips", trips.unionAll(trips)), ("pings", pings)):
-        rows.repartition(3).write.parquet(f"{base}/landing/{name}")
+        rows.write.parquet(f"{base}/landing/{name}")
     lake = medallion.Lake(f"{base}/landing", f"{base}/tables", f"{base}/marks", "3650 days")
     return medallion.run(spark, lake)["zone_hourly_kpis"].withColumn("pickup_zone_id", big("pickup_zone_id"))
 
@@ -216,7 +219,7 @@ def stream_topic_archive(spark, d):
     payload = F.to_json(F.struct(F.col("event_id").cast("string").alias("event_id"), "zone_id"))
     base, out, marks = (shared_folder(spark, n) for n in ("topics", "archive", "marks"))
     (requests.select(payload.alias("value"), (F.col("event_id") % 3).cast("int").alias("partition"), F.col("event_id").alias("offset"))
-     .repartition(3).write.json(f"{base}/trip_requests"))
+     .write.json(f"{base}/trip_requests"))
     schema = {"trip_requests": "event_id string, zone_id int"}
     for q in archive.topics(file_topics(spark, base), out, marks, schema, available_now=True).values():
         q.awaitTermination()
@@ -229,7 +232,7 @@ def stream_raw_archive(spark, d):
     """Payloads kept as they came, as text."""
     base, out, marks = (shared_folder(spark, n) for n in ("topics", "raw", "marks"))
     (read(spark, d, "events").select(F.col("props").alias("value"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"))
-     .repartition(3).write.json(f"{base}/visits"))
+     .write.json(f"{base}/visits"))
     archive.raw_text(file_topics(spark, base)("visits"), out, marks, interval=None, available_now=True).awaitTermination()
     lines = spark.read.text(out)
     return lines.agg(F.count(F.lit(1)).alias("lines"), F.sum(F.length("value")).alias("characters"))
