@@ -82,16 +82,38 @@ def best_widths(longer: list[int]) -> list[int]:
     return best[0][1]
 
 
+def _places(width: int) -> Iterator[tuple[int, int, int]]:
+    """Where eight chunks of ``width`` bits lie in 64-bit words: (chunk, word, bit)."""
+    return ((k, *divmod(k * width, 64)) for k in range(8))
+
+
 def _pack(values: np.ndarray, width: int) -> bytes:
-    flat = np.unpackbits(values.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, count=width, bitorder="little")
-    return np.packbits(flat.ravel(), bitorder="little").tobytes()
+    """Chunks in a row without gaps, the lowest bit first: eight of them take ``width`` bytes."""
+    eights = -(-len(values) // 8)
+    padded = np.zeros(8 * eights, np.uint64)
+    padded[:len(values)] = values
+    chunks = padded.reshape(-1, 8).T
+    words = np.zeros((eights, -(-width // 8) + 1), np.uint64)
+    for k, word, bit in _places(width):
+        words[:, word] |= chunks[k] << np.uint64(bit)
+        if bit + width > 64:
+            words[:, word + 1] |= chunks[k] >> np.uint64(64 - bit)
+    return words.astype("<u8", copy=False).view(np.uint8)[:, :width].tobytes()[:(len(values) * width + 7) // 8]
 
 
 def _unpack(data: memoryview, entries: int, width: int) -> np.ndarray:
-    flat = np.unpackbits(np.frombuffer(data, np.uint8), count=entries * width, bitorder="little").reshape(entries, width)
-    wide = np.zeros((entries, 32), np.uint8)
-    wide[:, :width] = flat
-    return np.packbits(wide, axis=1, bitorder="little").view("<u4").ravel()
+    eights = -(-entries // 8)
+    flat = np.zeros(eights * width, np.uint8)
+    flat[:len(data)] = np.frombuffer(data, np.uint8)
+    raw = np.zeros((eights, 8 * (-(-width // 8) + 1)), np.uint8)
+    raw[:, :width] = flat.reshape(eights, width)
+    words, chunks = raw.view("<u8"), np.empty((eights, 8), np.uint32)
+    for k, word, bit in _places(width):
+        chunk = words[:, word] >> np.uint64(bit)
+        if bit + width > 64:
+            chunk |= words[:, word + 1] << np.uint64(64 - bit)
+        chunks[:, k] = chunk & np.uint64((1 << width) - 1)
+    return chunks.ravel()[:entries]
 
 
 def encoded(ids: np.ndarray, widths: list[int] | None = None) -> bytes:
@@ -162,9 +184,13 @@ class Codes:
 
     def all(self) -> np.ndarray:
         """All ids in a row."""
-        values, at, shift = np.zeros(self.n, np.uint32), np.arange(self.n), 0
+        values, at, shift = np.zeros(self.n, np.uint32), None, 0
         for width, entries, chunks, *more in self.levels:
-            values[at] |= _unpack(chunks, entries, width) << np.uint32(shift)
+            part = _unpack(chunks, entries, width) << np.uint32(shift)
+            if at is None:
+                values, at = part, np.arange(self.n)
+            else:
+                values[at] |= part
             shift += width
             if more:
                 at = at[np.unpackbits(np.frombuffer(more[0], np.uint8), count=entries, bitorder="little").view(bool)]
