@@ -1,4 +1,7 @@
-"""A quality classifier: a factorisation machine over hashed words, structure statistics and metadata."""
+"""A quality classifier: a factorisation machine over hashed words and structure statistics.
+
+The contract leaves no metadata to score by but a text's length, which is among its statistics.
+"""
 
 from __future__ import annotations
 
