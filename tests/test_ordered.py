@@ -128,3 +128,32 @@ def test_salary_ties(spark):
                                   "name string, department string, salary int")
     out = ranked_by_value(staff, ["department"], "salary", True, "rank", "dense")
     assert rows(out.select("name", "rank", "dense")) == [("Alice", 3, 2), ("Charlie", 1, 1), ("Grace", 1, 1)]
+
+
+def test_a_part_depends_on_the_row_alone(df):
+    """However the rows lie when they are read again, no row changes its part; nothing is written to pin it."""
+    first = rows(split_by_order(df, ["k"], ORDER, {}, 40).select("id", "_part"))
+    assert first == rows(split_by_order(df.repartition(11, "id"), ["k"], ORDER, {}, 40).select("id", "_part"))
+    assert len({part for _, part in first}) > 30
+
+
+def test_cuts_of_every_kind_of_column(spark):
+    """Columns whose values must come back exactly from the plan's constant, or rows near a cut would be counted twice."""
+    base = spark.range(400).withColumn("id", F.col("id").cast("int")).withColumns({
+        "ts": F.timestamp_micros(F.lit(1767225600000000) + F.col("id") % 97), "day": F.date_add(F.lit("2026-01-01"), F.col("id") % 13),
+        "local": F.expr("timestamp_ntz'2026-03-29 02:30:00.000001' + make_dt_interval(0, 0, 0, id % 31 / 1000000)"),
+        "exact": (F.col("id") % 89 / F.lit(7)).cast("decimal(30,12)"), "real": (F.col("id") % 83 / F.lit(3)).cast("float"),
+        "bytes": F.encode(F.concat(F.lit("é\0"), (F.col("id") % 11).cast("string")), "utf-8"), "flag": F.col("id") % 2 == 0,
+        "pair": F.struct((F.col("id") % 5).alias("a"), F.when(F.col("id") % 3 > 0, "x\"\n").alias("b"))})
+    base.createOrReplaceTempView("kinds")
+    for key in ("flag", "pair", "bytes"):
+        for column in ("ts", "day", "local", "exact", "real", "bytes", "pair"):
+            got = rows(numbered(base, [key], [(column, True), ("id", False)], "n", 25).select("id", "n"))
+            want = rows(spark.sql(f"SELECT id, row_number() OVER (PARTITION BY {key} ORDER BY {column} DESC, id) FROM kinds"))
+            assert got == want, (key, column)
+
+
+def test_columns_named_like_a_constants_fields(spark):
+    named = spark.createDataFrame([(i % 3, -i, str(i)) for i in range(200)], "c0 int, c1 int, cuts string")
+    got = rows(running_sum(named, ["c0"], [("c1", False)], "c1", "s", 9).select("c1", "s"))
+    assert got == rows(named.selectExpr("c1", "sum(c1) OVER (PARTITION BY c0 ORDER BY c1)"))
