@@ -26,6 +26,7 @@ def time_grid(counts: DataFrame, key: str, bin_col: str, value: str, seconds: in
 
 
 CHUNK_STEPS = 2048  # rows of a series in one window
+LINKED = 64         # chunks of a recurrence that are composed in one task
 
 
 def _chunked(df: DataFrame, key: str, order: str, seconds: int, back: int, ahead: int) -> tuple[DataFrame, WindowSpec]:
@@ -74,41 +75,87 @@ def step_limited(df: DataFrame, key: str, time: str, target: str, name: str,
       never lets two starting values cross, so where both end on one output that
       is the end of the chunk whatever came before.
     * Otherwise the chunk is folded from every value on the rounding grid, which
-      gives its end as a table of its start.
-    * One short pass per key over the chunk ends, one entry per chunk, finds every
-      chunk's start, and each chunk is folded once more from there.
+      gives its end as a table of its start.  A third end is that of a chunk
+      whose first row begins afresh.
+    * Such chunks compose: LINKED of them in a row are again a chunk with these
+      ends.  Rounds of composing go up until a key has at most LINKED, and come
+      down again with the start of each, so no task holds more than LINKED ends
+      however long the series is.
+    * Each chunk is folded once more from its start.
     """
-    w = Window.partitionBy(key).orderBy(time)
-    gap = F.unix_timestamp(time) - F.unix_timestamp(F.lag(time).over(w))
-    rows = df.select(key, time, target, F.coalesce(gap > lookback_seconds, F.lit(True)).alias("_fresh"),
-                     F.floor(F.unix_timestamp(time) / chunk_seconds).alias("_chunk"))
     scale = 10 ** places
     first, last = round(low * scale), round(high * scale)
+    grid = F.sequence(F.lit(first), F.lit(last))
+    nothing = F.lit(None).cast("double")
 
-    def end_from(start: Column) -> Column:
+    def ends(frame: DataFrame, end_from: Callable[[Column], Column], afresh: Column) -> DataFrame:
+        return (frame.withColumns({"_end": end_from(F.lit(float(low))), "_fresh_end": afresh})
+                .withColumn("_ends", F.when(F.col("_end") != end_from(F.lit(float(high))),
+                                            F.transform(grid, lambda s: end_from(s.cast("double") / scale)))))
+
+    def fold(start: Column) -> Column:
         return F.aggregate("_rows", start, lambda at, r: step(r[target], F.when(~r["_fresh"], at)))
 
-    table = F.transform(F.sequence(F.lit(first), F.lit(last)), lambda s: end_from(s.cast("double") / scale))
-    chunks = checkpointed(
-        rows.groupBy(key, "_chunk").agg(F.sort_array(F.collect_list(F.struct(time, target, "_fresh"))).alias("_rows"))
-        .withColumn("_end", end_from(F.lit(float(low))))
-        .withColumn("_ends", F.when(F.col("_end") != end_from(F.lit(float(high))), table)))
+    def late(since: Column, until: Column) -> Column:
+        return F.coalesce(until - since > lookback_seconds, F.lit(False))
+
+    seconds = F.unix_timestamp(time)
+    listed = (df.select(key, F.floor(seconds / chunk_seconds).alias("_chunk"), F.struct(time, target, seconds.alias("_s")).alias("_r"))
+              .groupBy(key, "_chunk").agg(F.sort_array(F.collect_list("_r")).alias("_in"))
+              .withColumns({"_first": F.element_at("_in", 1)["_s"], "_last": F.element_at("_in", -1)["_s"],
+                            # Whether a chunk's first row is fresh, the chunk before it tells.
+                            "_rows": F.transform("_in", lambda r, i: F.struct(
+                                r[time].alias(time), r[target].alias(target),
+                                late(F.get("_in", i - 1)["_s"], r["_s"]).alias("_fresh")))}))
+    chunks = checkpointed(ends(listed.drop("_in"), fold, fold(nothing)))
 
-    def end_of(link: Column, start: Column) -> Column:
+    def end_of(link: Column, start: Column, since: Column) -> Column:
         place = (F.rint(start * scale) - first + 1).cast("int")
-        return F.when(link["_ends"].isNull(), link["_end"]).otherwise(F.element_at(link["_ends"], place))
-
-    # A key's first chunk begins afresh, so its start does not matter.
-    starts = F.aggregate("_links", F.array(F.lit(None).cast("double")),
-                         lambda done, link: F.concat(done, F.array(end_of(link, F.element_at(done, -1)))))
-    chain = (chunks.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_chunk", "_end", "_ends"))).alias("_links"))
-             .select(key, F.explode(F.arrays_zip(F.col("_links._chunk").alias("c"),
-                                                 F.slice(starts, F.lit(1), F.size("_links")).alias("s"))).alias("_z"))
-             .select(key, F.col("_z.c").alias("_chunk"), F.col("_z.s").alias("_start")))
+        carried = F.when(link["_ends"].isNull(), link["_end"]).otherwise(F.element_at(link["_ends"], place))
+        return F.when(begins(link, since), link["_fresh_end"]).otherwise(carried)
+
+    def begins(link: Column, since: Column) -> Column:
+        return since.isNull() | late(since, link["_first"])
+
+    def through(start: Column, since: Column) -> Column:
+        return F.aggregate("_links", F.struct(start.alias("at"), since.alias("since")),
+                           lambda s, link: F.struct(end_of(link, s["at"], s["since"]).alias("at"), link["_last"].alias("since")),
+                           lambda s: s["at"])
+
+    linked = ("_chunk", "_first", "_last", "_end", "_fresh_end", "_ends")
+    links = F.sort_array(F.collect_list(F.struct(*linked))).alias("_links")
+    own_first = F.element_at("_links", 1)["_first"]
+
+    def composed(parts: DataFrame) -> DataFrame:
+        rows = (parts.groupBy(key, F.floor(F.col("_chunk") / LINKED).alias("_chunk")).agg(links)
+                .withColumns({"_first": own_first, "_last": F.element_at("_links", -1)["_last"]}))
+        return checkpointed(ends(rows, lambda start: through(start, own_first), through(nothing, F.lit(None).cast("bigint"))))
+
+    def starts(groups: DataFrame) -> DataFrame:
+        """(key, chunk, start) of the links of groups with a ``_start``, which is null where they begin afresh."""
+        since = F.when(F.col("_start").isNotNull(), own_first)
+        begun = F.aggregate(
+            "_links", F.struct(F.col("_start").alias("at"), since.alias("since"), F.array().cast("array<double>").alias("out")),
+            lambda s, link: F.struct(
+                end_of(link, s["at"], s["since"]).alias("at"), link["_last"].alias("since"),
+                F.concat(s["out"], F.array(F.when(~begins(link, s["since"]), s["at"]))).alias("out")),
+            lambda s: s["out"])
+        return (groups.select(key, F.explode(F.arrays_zip(F.col("_links._chunk").alias("c"), begun.alias("s"))).alias("_z"))
+                .select(key, F.col("_z.c").alias("_chunk"), F.col("_z.s").alias("_start")))
+
+    oldest, newest = chunks.agg(F.min("_chunk"), F.max("_chunk")).first()
+    levels = [chunks]
+    while oldest is not None and newest - oldest >= LINKED:
+        levels.append(composed(levels[-1]))
+        oldest, newest = oldest // LINKED, newest // LINKED
+    found = starts(levels[-1].groupBy(key).agg(links).withColumn("_start", nothing))
+    for groups in reversed(levels[1:]):
+        found = starts(groups.select(key, "_chunk", "_links").join(found, [key, "_chunk"]))
+
     outputs = F.aggregate(
         "_rows", F.array("_start"),
         lambda done, r: F.concat(done, F.array(step(r[target], F.when(~r["_fresh"], F.element_at(done, -1))))))
-    return (chunks.join(chain, [key, "_chunk"])
+    return (chunks.join(found, [key, "_chunk"])
             .select(key, F.explode(F.arrays_zip(F.col("_rows").alias("r"),
                                                 F.slice(outputs, F.lit(2), F.size("_rows")).alias("o"))).alias("_z"))
             .select(key, F.col(f"_z.r.{time}").alias(time), F.col(f"_z.r.{target}").alias(target),

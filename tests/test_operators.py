@@ -214,9 +214,10 @@ def test_series(spark):
     assert [r["mean2"] for r in out] == [None, 2.0, 0.0, 0.0, 3.0]
 
 
-@pytest.mark.parametrize("chunk", [60, 600, 86400])
-def test_step_limited_series_equals_a_loop(spark, chunk):
-    """Chunks that settle and chunks that never do give the same as one long loop."""
+@pytest.mark.parametrize("chunk, linked", [(60, 64), (600, 64), (86400, 64), (60, 3), (120, 8), (600, 2)])
+def test_step_limited_series_equals_a_loop(spark, chunk, linked, monkeypatch):
+    """Chunks that settle and chunks that never do give the same as one long loop, in one round or in many."""
+    monkeypatch.setattr(series, "LINKED", linked)
     random.seed(11)
     start, data = dt.datetime(2026, 1, 1), []
     for zone in (1, 2, 3):
