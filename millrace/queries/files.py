@@ -138,6 +138,24 @@ def import_twice(spark, d):
     return read_version(spark, table).select("o_orderkey", "o_totalprice")
 
 
+@query("import_growing", """
+SELECT o_orderkey, CASE WHEN o_orderdate <= (SELECT quantile_disc(o_orderdate, 0.02) FROM orders) THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+FROM orders""")
+def import_growing(spark, d):
+    """A table that grows fifty times over four imports, its buckets with it; then its oldest rows change."""
+    orders = read(spark, d, "orders").select("o_orderkey", "o_totalprice", F.col("o_orderdate").alias("modified"))
+    seconds, table = F.unix_timestamp("modified"), shared_folder(spark, "growing")
+    *cuts, rows, newest = orders.agg(
+        *[F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY unix_timestamp(modified))") for q in (0.02, 0.1, 0.4, 1.0)],
+        F.count(F.lit(1)), F.max("modified")).first()
+    for cut in cuts:
+        import_changes(spark, orders.where(seconds <= int(cut)), table, "o_orderkey", "modified", bucket_rows=max(1, rows // 60))
+    oldest = orders.where(seconds <= int(cuts[0])).withColumns(
+        {"o_totalprice": F.col("o_totalprice") + 1, "modified": F.lit(newest) + F.expr("INTERVAL 1 DAY")})
+    import_changes(spark, oldest, table, "o_orderkey", "modified", bucket_rows=max(1, rows // 60))
+    return read_version(spark, table).select("o_orderkey", "o_totalprice")
+
+
 @query("zone_map", "SELECT count(*) AS zones, min(zone_id) AS first_zone, max(zone_id) AS last_zone FROM (SELECT DISTINCT user_id % 40 + 1 AS zone_id FROM events)")
 def zone_map(spark, d):
     """The zones that events fall into, written as a CSV map and read back."""

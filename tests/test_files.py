@@ -124,6 +124,52 @@ def test_imports(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "dims" / "zones")).count() == 3
 
 
+@pytest.mark.parametrize("buckets", [1, 2, 3, 5, 8, 13, 64, 100])
+def test_a_new_bucket_takes_rows_from_one_old(spark, buckets):
+    df = spark.range(5000)
+    more = rows(df.select(incremental.bucket_of("id", buckets).alias("a"), incremental.bucket_of("id", 2 * buckets + 3).alias("b")).distinct())
+    assert {a for a, _ in more} == set(range(buckets)) and {b for _, b in more} <= set(range(2 * buckets + 3))
+    assert all(incremental.split_from(b, buckets) == a for a, b in more)
+
+
+def test_buckets_grow_with_a_table(spark, tmp_path):
+    """From 300 to 30,000 rows: bucket sizes stay near one another, and an import leaves other buckets where they lie."""
+    table, start = str(tmp_path / "grown"), dt.datetime(2026, 1, 1)
+    source = lambda n: spark.range(n).select(
+        F.col("id").cast("string").alias("k"), (F.lit(start) + F.expr("make_dt_interval(0, 0, 0, id)")).alias("m"))
+    for n in (300, 400, 3000, 20_000, 30_000):
+        incremental.import_changes(spark, source(n), table, "k", "m", bucket_rows=150)
+        sizes = incremental.bucket_sizes(spark, table)
+        assert sum(sizes.values()) == n and len(sizes) == -(-n // 150)
+        assert 150 / 4 <= min(sizes.values()) and max(sizes.values()) <= 150 * 2
+    folders = lambda: incremental._commit(spark, table)["folders"]
+    before = folders()
+    one = spark.createDataFrame([("7", start + dt.timedelta(days=9))], "k string, m timestamp")
+    incremental.import_changes(spark, one, table, "k", "m", bucket_rows=150)
+    after = folders()
+    # One changed key: its bucket and at most the one that is split are written again.
+    assert sum(after.get(b) != v for b, v in before.items()) <= 2 and set(before) <= set(after)
+    got = incremental.read_version(spark, table)
+    assert got.count() == 30_000 == got.select("k").distinct().count()
+    assert got.where("k = '7'").first()["m"] == start + dt.timedelta(days=9)
+    assert incremental.read_version(spark, table, 3).count() == 3000
+
+
+def test_commits_without_a_number_of_buckets(spark, tmp_path):
+    """A table of 64 buckets, as imports used to write it, goes on growing from there."""
+    table, day = str(tmp_path / "older"), dt.datetime(2026, 1, 1)
+    old = spark.range(200).select(F.col("id").alias("k"), F.lit(day).alias("m"))
+    (old.withColumn("_bucket", F.pmod(F.xxhash64("k"), F.lit(64)).cast("int"))
+     .write.partitionBy("_bucket").parquet(f"{table}/data/v1"))
+    folders = {r["_bucket"]: 1 for r in spark.read.parquet(f"{table}/data/v1").select("_bucket").distinct().collect()}
+    spark.createDataFrame([(1, day, folders, old.schema.json())], "version bigint, high_water timestamp, folders map<int, bigint>, schema string"
+                          ).write.parquet(f"{table}/commits")
+    more = spark.range(190, 2000).select(F.col("id").alias("k"), F.lit(day + dt.timedelta(days=1)).alias("m"))
+    incremental.import_changes(spark, more, table, "k", "m", bucket_rows=20)
+    got = incremental.read_version(spark, table)
+    assert (got.count(), got.select("k").distinct().count(), got.agg(F.count_if(F.col("m") > day)).first()[0]) == (2000, 2000, 1810)
+
+
 def test_repair_finds_new_partitions(spark, tmp_path):
     path = str(tmp_path / "ext")
     df = spark.createDataFrame([(1, "a")], "id int, p string")
