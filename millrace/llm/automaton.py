@@ -130,20 +130,38 @@ class _Parser:
         return start, end
 
 
+def _turned(moves: list, free: list) -> tuple[list, list]:
+    """The same states with every arrow the other way."""
+    back_moves, back_free = [[] for _ in moves], [[] for _ in free]
+    for state, (arrows, jumps) in enumerate(zip(moves, free)):
+        for chars, to in arrows:
+            back_moves[to].append((chars, state))
+        for to in jumps:
+            back_free[to].append(state)
+    return back_moves, back_free
+
+
 class Automaton:
     """Finds where matches of any rule end: one minimal transition table for all rules.
 
     ``rules`` are (pattern, any_case).  After a byte, ``accept[state]`` has bit
     i set if a match of rule i ends there.  The table is ``next[state, class]``,
     with ``byte_class`` naming the class of each byte.
+
+    A match may begin anywhere, or with ``anchored`` at the first byte only; then
+    ``longest`` follows one match to its end.  ``backwards`` reads the rules from
+    their ends: over reversed bytes it finds where matches start.
     """
 
-    def __init__(self, rules: list[tuple[str, bool]]):
+    def __init__(self, rules: list[tuple[str, bool]], anchored: bool = False, backwards: bool = False):
         parser, starts, ends = _Parser(), [], {}
         for i, (pattern, any_case) in enumerate(rules):
             a, b = parser.read(pattern, any_case)
+            a, b = (b, a) if backwards else (a, b)
             starts.append(a)
             ends[b] = 1 << i
+        if backwards:
+            parser.moves, parser.free = _turned(parser.moves, parser.free)
         # Bytes that no rule tells apart share a class.
         signature: dict[tuple, int] = {}
         sets = list({m[0] for moves in parser.moves for m in moves})
@@ -160,13 +178,14 @@ class Automaton:
                         stack.append(t)
             return frozenset(s for s in found if parser.moves[s] or s in ends)
 
-        # A match may begin anywhere: every subset holds the rules' first states.
+        # Where a match may begin anywhere, every subset holds the rules' first states.
         first = closure(starts)
+        again = frozenset() if anchored else first
         number, table, subsets = {first: 0}, [], [first]
         for subset in subsets:
             row = []
             for byte in sample:
-                to = closure([t for s in subset for chars, t in parser.moves[s] if byte in chars]) | first
+                to = closure([t for s in subset for chars, t in parser.moves[s] if byte in chars]) | again
                 if to not in number:
                     number[to] = len(subsets)
                     subsets.append(to)
@@ -190,6 +209,25 @@ class Automaton:
         self.accept = accept[chosen]
         self.next = block[table[chosen]].astype(np.uint16 if len(chosen) < 1 << 16 else np.uint32)
 
+    def follow(self) -> tuple[list[list[int]], list[bool], list[bool], bytes]:
+        """The table as lists, for ``longest``: next states, which accept, which lead nowhere, and the class of each byte."""
+        accepts = (self.accept != 0).tolist()
+        dead = [not accepts[s] and bool((row == s).all()) for s, row in enumerate(self.next)]
+        return self.next.tolist(), accepts, dead, self.byte_class.tobytes()
+
+    @staticmethod
+    def longest(table: tuple[list[list[int]], list[bool], list[bool], bytes], data: bytes, start: int) -> int:
+        """Where the longest match from ``start`` ends, or -1; reads no farther than a match can go on."""
+        following, accepts, dead, classes = table
+        state, end = 0, start if accepts[0] else -1
+        for at in range(start, len(data)):
+            state = following[state][classes[data[at]]]
+            if accepts[state]:
+                end = at + 1
+            elif dead[state]:
+                break
+        return end
+
     def states(self, data: np.ndarray, lanes_of: int = 512) -> np.ndarray:
         """The state after every byte of ``data``, as one pass from state 0 gives it.
 
