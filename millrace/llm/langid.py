@@ -17,7 +17,8 @@ CENTROIDS = 4            # per language
 SAMPLE_ROWS = 300        # labelled documents per language that the centroids are fitted on
 LENGTH_CLASSES = (64, 256, 1024)  # n-grams; a distance limit is learned for each class above the first
 CLASS_ROWS = 20          # sampled documents that a class needs for a limit of its own
-SLACK = 0.4             # a text may lie farther than the farthest sampled document, by this factor of its cosine
+LOWEST = 0.01           # quantile of the sampled cosines of a class that its limit is taken from: outliers do not set it
+SLACK = 0.4             # a text may lie farther than that, by this factor of the cosine
 SHORT_LEAST = 0.02       # texts shorter than the first class need little more than shared n-grams
 CLUSTER_ROWS = 5         # smaller clusters are outliers and give no centroid
 SHARPNESS = 20.0         # of the score
@@ -99,10 +100,10 @@ def _clusters(vectors: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 
 
 def _limits(cosine: np.ndarray, grams: np.ndarray) -> np.ndarray:
-    """Least cosine per length class, from the sample's own distances."""
+    """Least cosine per length class, from a quantile of the sample's own distances."""
     lengths = np.searchsorted(LENGTH_CLASSES, grams, side="right")
-    everyone = SLACK * cosine[lengths > 0].min() if (lengths > 0).any() else SHORT_LEAST
-    own = [SLACK * cosine[lengths == c].min() if (lengths == c).sum() >= CLASS_ROWS else everyone
+    everyone = SLACK * np.quantile(cosine[lengths > 0], LOWEST) if (lengths > 0).any() else SHORT_LEAST
+    own = [SLACK * np.quantile(cosine[lengths == c], LOWEST) if (lengths == c).sum() >= CLASS_ROWS else everyone
            for c in range(1, len(LENGTH_CLASSES) + 1)]
     return np.array([SHORT_LEAST, *own])
 
@@ -180,7 +181,7 @@ def predict(docs: DataFrame, model: Centroids, key: str = "doc_id", text: str =
 
     A null text or one without a letter is UNKNOWN with score 0, and rejected.
     ``rejected`` also marks texts farther from their language's centroids than
-    its sampled documents of that length are (by SLACK); they keep the nearest
+    all but LOWEST of its sampled documents of that length are (by SLACK); they keep the nearest
     language as their prediction.
     """
     source = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
