@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel, Pipeline
@@ -24,6 +25,7 @@ FEATURES = ["zone_id", "hour", "dow", "is_weekend", "is_holiday", "demand", "lag
 NO_RAIN, USUAL_TEMP_C = 0.0, 28.0
 TRAIN_SHARE = 0.8
 R2_TARGET = 0.70
+MODELS = ("linear_regression", "random_forest")
 FOREST = {"numTrees": 150, "maxDepth": 16, "minInstancesPerNode": 3, "seed": 42}
 
 
@@ -89,12 +91,13 @@ class Trained:
     target_met: bool
 
 
-def train(rows: DataFrame, forest: dict | None = None) -> Trained:
-    """Fit both regressors on the earlier bins and keep the one with the best R² on the later."""
+def train(rows: DataFrame, forest: dict | None = None, models: Sequence[str] = MODELS) -> Trained:
+    """Fit the regressors on the earlier bins and keep the one with the best R² on the later."""
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
     common = {"featuresCol": "features", "labelCol": "y_next"}
-    candidates = {"linear_regression": LinearRegression(**common),
-                  "random_forest": RandomForestRegressor(**common, **(forest or FOREST))}
+    known = {"linear_regression": LinearRegression(**common),
+             "random_forest": RandomForestRegressor(**common, **(forest or FOREST))}
+    candidates = {name: known[name] for name in models}
     metrics, fitted = {}, {}
     # One row per zone and bin, read by every iteration.
     split = checkpointed(time_split(complete(rows)))

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators.layout import (partition_count, planned_repartition, salt_plan, salted_repartition, shrink,
+from millrace.operators.layout import (partition_count, plan_text, planned_repartition, salt_plan, salted_repartition, shrink,
                                        spread)
 from millrace.plans import mapping
 from millrace.queries.registry import big, query
 from millrace.queries.streams import landed
-from millrace.session import shared_folder
+from millrace.session import cached, checkpointed, shared_folder
 from millrace.sinks import files as sinks
 from millrace.sources import batch, catalog
 from millrace.sources.incremental import full_refresh, import_changes, read_version
@@ -186,3 +186,33 @@ def layouts(spark, d):
     return wide.agg(F.count(F.lit(1)).alias("row_count"), F.lit(partition_count(wide)).cast("bigint").alias("spread_to"),
                     F.lit(partition_count(shrink(wide, 2))).cast("bigint").alias("shrunk_to")).withColumn(
                         "hot_key_in_many", parts.select(F.col("n") > 3).scalar())
+
+
+@query("cached_reuse", """
+SELECT c_mktsegment, count(*) AS customers, CAST(max(c_acctbal) AS DOUBLE) AS highest,
+       (SELECT count(*) FROM customer WHERE c_acctbal > 0) AS in_credit, true AS was_kept, true AS was_released
+FROM customer WHERE c_acctbal > 0 GROUP BY 1""")
+def cached_reuse(spark, d):
+    """One filtered table kept in memory and on disk for two results, and let go after them."""
+    rows = read(spark, d, "customer").select("c_mktsegment", "c_acctbal").where("c_acctbal > 0")
+    with cached(rows):
+        kept = rows.storageLevel.useMemory and rows.storageLevel.useDisk
+        in_credit = rows.count()
+        result = checkpointed(rows.groupBy("c_mktsegment").agg(
+            F.count(F.lit(1)).alias("customers"), F.max("c_acctbal").cast("double").alias("highest")))
+    released = not (rows.storageLevel.useMemory or rows.storageLevel.useDisk)
+    return result.withColumns({"in_credit": F.lit(in_credit).cast("bigint"), "was_kept": F.lit(kept), "was_released": F.lit(released)})
+
+
+@query("plan_inspected", """
+SELECT l_returnflag, count(*) AS lines, true AS filter_pushed, true AS two_columns_read, 1 AS exchanges
+FROM lineitem WHERE l_quantity > 45 GROUP BY 1""")
+def plan_inspected(spark, d):
+    """A grouped scan beside what its plan says: the filter and the columns reach the scan, one shuffle."""
+    rows = (read(spark, d, "lineitem").where("l_quantity > 45").groupBy("l_returnflag")
+            .agg(F.count(F.lit(1)).alias("lines")))
+    plan = plan_text(rows)
+    schema = next(line for line in plan.splitlines() if line.startswith("ReadSchema"))
+    return rows.withColumns({
+        "filter_pushed": F.lit("GreaterThan(l_quantity" in plan), "two_columns_read": F.lit(schema.count(":") == 3),
+        "exchanges": F.lit(sum(line.startswith("(") and ") Exchange" in line for line in plan.splitlines())).cast("bigint")})

@@ -10,8 +10,8 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators.layout import partition_count
-from millrace.plans import mapping
-from millrace.queries import trips as _trips  # noqa: F401  its SQL is shared
+from millrace.plans import mapping, visits
+from millrace.queries import totals as _totals, trips as _trips  # noqa: F401  their SQL is shared
 from millrace.queries.demand import SIZE, SLIDE, priced, windows as exact_windows
 from millrace.queries.registry import SQL, big, query
 from millrace.queries.views import REQUESTS, WINDOWS, with_
@@ -238,6 +238,18 @@ def stream_raw_archive(spark, d):
     return lines.agg(F.count(F.lit(1)).alias("lines"), F.sum(F.length("value")).alias("characters"))
 
 
+@query("stream_visits_table", SQL["visit_stats"])
+def stream_visits_table(spark, d):
+    """Visit events land from a topic in a table, and the statistics are asked of the table."""
+    base, out, marks = (shared_folder(spark, n) for n in ("topics", "visits", "marks"))
+    payload = F.to_json(F.struct(F.col("user_id").cast("string").alias("visitor_id"), F.col("event_type").alias("page"),
+                                 F.col("ts").cast("string").alias("timestamp")))
+    (read(spark, d, "events").select(payload.alias("value"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"))
+     .write.json(f"{base}/visits"))
+    archive.visits(file_topics(spark, base), "visits", out, marks, available_now=True).awaitTermination()
+    return visits.visit_stats(spark.read.parquet(out))
+
+
 @query("stream_restarted", "SELECT CAST(event_id AS VARCHAR) AS event_id FROM events")
 def stream_restarted(spark, d):
     """A stream stopped and started again from its checkpoint reads the new files only."""

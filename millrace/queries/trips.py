@@ -8,9 +8,11 @@ from millrace.functions.geo import zone_table
 from millrace.operators.quality import apply_rules, lake_trip_rules, trip_rules
 from millrace.plans import demand, mapping, trips
 from millrace.queries.demand import priced, priced_once, windows
-from millrace.queries.registry import big, day, query
+from millrace.queries.registry import SQL, big, day, query
 from millrace.queries.views import LAKE_VALID, PINGS, PRICED, VALID, WINDOWS, ZONES, with_
-from millrace.session import checkpointed
+from millrace.session import checkpointed, shared_folder
+from millrace.sinks.files import report_csv
+from millrace.sources.batch import csv_table
 
 
 def valid(spark, d, rules=None):
@@ -102,6 +104,14 @@ def driver_payout(spark, d):
                                trips.PayoutRule(online_minutes=400.0))
 
 
+@query("payout_report", SQL["driver_payout"])
+def payout_report(spark, d):
+    """The payouts as a CSV report: as many files as the sorted result has partitions, so best paid comes first in them."""
+    pay, path = driver_payout(spark, d), shared_folder(spark, "payouts")
+    report_csv(pay, path, files=None)
+    return csv_table(spark, path, pay.schema)
+
+
 @query("kpi_summary", with_(VALID, WINDOWS) + """
 , s AS (SELECT count(*) FILTER (status = 'COMPLETED') AS n, count(*) FILTER (status = 'CANCELLED') / count(*) AS cancel,
                avg(epoch(pickup_time - request_time) / 60) FILTER (status = 'COMPLETED') AS eta,

@@ -13,7 +13,7 @@ def text_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def csv_table(spark: SparkSession, path: str, schema: str | None, header: bool = True) -> DataFrame:
+def csv_table(spark: SparkSession, path: str, schema: str | StructType | None, header: bool = True) -> DataFrame:
     """CSV with a pinned schema; ``schema=None`` infers it at the price of another pass."""
     reader = spark.read.option("header", header)
     reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
