@@ -21,7 +21,7 @@ ROTATIONS = (0, 22, 43)
 RADIUS = 4
 MAX_PREFIX = 21
 LEAVES = 1024      # aimed-at fingerprints under one shared prefix
-SPLIT = 4096       # a prefix with more of them is dealt over several indexes
+SPLIT = 4096       # a prefix with more of them is divided by the bits behind it
 FAN_OUT = 8        # children of a node
 FRONTIER = 1 << 17  # (query, node) pairs looked at together; their children are eight times as many
 
@@ -164,45 +164,89 @@ def _rotated(code: Column, by: int) -> Column:
     return code if by == 0 else F.shiftleft(code, by).bitwiseOR(F.shiftrightunsigned(code, 64 - by))
 
 
-def near_links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Links (a, b) that connect exactly the fingerprints which chains of pairs within ``radius`` bits connect.
+def _asked(node: Column, bits: int) -> Column:
+    """The nodes that a fingerprint under ``node`` asks: its own and those with one more bit set."""
+    up = [F.when(F.shiftrightunsigned(node, i).bitwiseAND(F.lit(1)) == 0, node.bitwiseOR(F.lit(1 << i)))
+          for i in range(bits)]
+    return F.array_compact(F.array(node, *up))
+
+
+def _pieces(code: Column, bits: int, radius: int) -> Column:
+    """What follows the ``bits`` leading bits, in ``radius`` + 1 pieces (piece, bits): near fingerprints share one."""
+    cuts = [round((64 - bits) * i / (radius + 1)) for i in range(radius + 2)]
+    return F.array(*(F.struct(F.lit(i).alias("piece"),
+                              F.shiftrightunsigned(code, lo).bitwiseAND(F.lit((1 << hi - lo) - 1)).alias("held"))
+                     for i, (lo, hi) in enumerate(zip(cuts, cuts[1:]))))
 
-    ``prints`` has one long column ``fingerprint`` of distinct values.  Shuffle
-    keys are the top nodes of three Gray-ordered indexes (the leading bits of
-    each rotation); a fingerprint asks its own node and those one set bit away.
-    A node of over SPLIT leaves is dealt over several indexes, and its askers go
-    to each.  Every index returns a spanning forest, never all pairs.
+
+def routed(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(turn, node, piece, held, p, q, code, leaf, asks): fingerprints dealt into indexes of bounded size.
+
+    Shuffle keys are the top nodes of three Gray-ordered indexes (the leading
+    bits of each rotation); a fingerprint asks its own node and those one set
+    bit away.  A node of over SPLIT leaves is divided by what follows the
+    leading bits: of radius + 1 pieces, two near fingerprints share one.  What
+    still has over SPLIT leaves is dealt in tiles, every part of its leaves with
+    every part of its askers; so are the many askers that a node gets from hot
+    neighbours.
     """
-    if radius // len(ROTATIONS) > 1:
-        raise ValueError("the routing is for a radius of at most 5 bits")
     bits = min(MAX_PREFIX, max(1, math.ceil(math.log2(max(2, prints.count()) / LEAVES))))
+    most = SPLIT * (MAX_PREFIX + 1)  # askers of a tile: nodes that are not hot send no more than this in all
     entries = prints.select(F.posexplode(F.array(*(_rotated(F.col("fingerprint"), r) for r in ROTATIONS)))
                             .alias("turn", "code"))
     entries = entries.withColumn("node", F.shiftrightunsigned("code", 64 - bits))
-    big = stored(entries.groupBy("turn", "node").agg(F.count("*").alias("n")).filter(F.col("n") > SPLIT)
-                 .select("turn", "node", F.ceil(F.col("n") / SPLIT).cast("bigint").alias("parts")))
-    up = [F.when(F.shiftrightunsigned("node", i).bitwiseAND(F.lit(1)) == 0,
-                 F.col("node").bitwiseOR(F.lit(1 << i))) for i in range(bits)]
-    asked = (entries.withColumn("to", F.explode(F.array_compact(F.array(F.col("node"), *up))))
-             .select("turn", F.col("to").alias("node"), "code", (F.col("to") == F.col("node")).alias("own")))
-    parts = F.coalesce("parts", F.lit(1))
-    home = F.pmod(F.xxhash64("code"), parts)
-    routed = (asked.join(big, ["turn", "node"], "left")
-              .withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)))
-              .select("turn", "node", "part", "code", (F.col("own") & (home == F.col("part"))).alias("leaf")))
+    hot = stored(entries.groupBy("turn", "node").agg(F.count("*").alias("n")).filter(F.col("n") > SPLIT))
+    divided = (entries.join(hot.select("turn", "node"), ["turn", "node"], "left_semi")
+               .select("turn", "node", F.inline(_pieces(F.col("code"), bits, radius)))
+               .groupBy("turn", "node", "piece", "held").agg(F.count("*").alias("n")).filter(F.col("n") > SPLIT))
+    whole = F.array(F.struct(F.lit(-1).alias("piece"), F.lit(0).cast("bigint").alias("held")))
+    counted = stored(hot.select("turn", "node", F.inline(whole), "n").unionByName(divided))
+    place = ["turn", "node", "piece", "held"]
+    tiles = stored(counted.select(*place, "n", F.lit(0).cast("bigint").alias("m"))
+                   .unionByName(counted.withColumn("node", F.explode(_asked(F.col("node"), bits)))
+                                .select(*place, F.lit(0).cast("bigint").alias("n"), F.col("n").alias("m")))
+                   .groupBy(*place).agg(F.ceil(F.sum("n") / SPLIT).alias("ps"), F.ceil(F.sum("m") / most).alias("qs")))
+    asked = (entries.withColumn("to", F.explode(_asked(F.col("node"), bits)))
+             .select("turn", F.col("to").alias("node"), "code", (F.col("to") == F.col("node")).alias("own"))
+             .join(hot.select("turn", "node", F.lit(True).alias("hot")), ["turn", "node"], "left")
+             .select("turn", "node", "code", "own",
+                     F.inline(F.when(F.col("hot"), _pieces(F.col("code"), bits, radius)).otherwise(whole))))
+    ps, qs = (F.greatest(F.coalesce(c, F.lit(1)), F.lit(1)) for c in ("ps", "qs"))
+    p, q = F.pmod(F.xxhash64("code"), ps), F.pmod(F.xxhash64("code"), qs)
+
+    def cell(p: Column, q: Column, leaf: Column, asks: Column) -> Column:
+        return F.struct(p.alias("p"), q.alias("q"), leaf.alias("leaf"), asks.alias("asks"))
+
+    zero, yes, no = F.lit(0).cast("bigint"), F.lit(True), F.lit(False)
+    elsewhere = F.filter(F.sequence(zero, ps - 1), lambda i: ~F.col("own") | (i != p))
+    asking = F.transform(elsewhere, lambda i: cell(i, q, no, yes))
+    standing = F.transform(F.sequence(zero, qs - 1), lambda i: cell(p, i, yes, i == q))
+    return (asked.join(tiles, place, "left")
+            .select(*place, "code", F.inline(F.when(F.col("own"), F.concat(asking, standing)).otherwise(asking))))
+
+
+def near_links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Links (a, b) that connect exactly the fingerprints which chains of pairs within ``radius`` bits connect.
+
+    ``prints`` has one long column ``fingerprint`` of distinct values.  ``routed``
+    deals them into indexes; every index returns a spanning forest, never all pairs.
+    """
+    if radius // len(ROTATIONS) > 1:
+        raise ValueError("the routing is for a radius of at most 5 bits")
 
     def search(group: pa.Table) -> pa.Table:
         codes = group.column("code").to_numpy().view(np.uint64)
-        leaf = group.column("leaf").to_numpy(zero_copy_only=False)
+        leaf, asks = (group.column(c).to_numpy(zero_copy_only=False) for c in ("leaf", "asks"))
         turn = np.uint64(ROTATIONS[group.column("turn")[0].as_py()])
         if not leaf.any():
             return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-        a, b = spanning_links(codes[leaf], codes, radius)
+        a, b = spanning_links(codes[leaf], codes[asks], radius)
         if turn:
             a, b = (x >> turn | x << (np.uint64(64) - turn) for x in (a, b))
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    return routed.groupBy("turn", "node", "part").applyInArrow(search, "a bigint, b bigint").distinct()
+    return (routed(prints, radius).groupBy("turn", "node", "piece", "held", "p", "q")
+            .applyInArrow(search, "a bigint, b bigint").distinct())
 
 
 def near_groups(prints: DataFrame, key: str, radius: int = RADIUS) -> DataFrame:

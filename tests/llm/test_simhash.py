@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from millrace.llm import simhash
 from millrace.llm.components import components
@@ -85,6 +86,41 @@ def test_links_connect_what_pairs_connect(spark, monkeypatch, split):
     assert {c: find(c) for c in root} == groups(codes)
 
 
+def ball(seed, n, prefix_bits=21):
+    """Fingerprints under one prefix: half of them within a few bits of one, half anywhere."""
+    rng = np.random.default_rng(seed)
+    tail = np.uint64((1 << 64 - prefix_bits) - 1)
+    near = np.full(n // 2, rng.integers(0, 2**64, dtype=np.uint64) & tail)
+    for _ in range(6):
+        near ^= np.uint64(1) << rng.integers(0, 64 - prefix_bits, len(near)).astype(np.uint64)
+    far = rng.integers(0, 2**64, n // 2, dtype=np.uint64) & tail
+    far[:n // 20] = near[:n // 20] ^ np.uint64(1 << 63)  # the next prefix, in which few stand, is asked by all of them
+    return np.unique(np.concatenate([near, far]))
+
+
+def test_a_hot_prefix_is_divided_and_loses_no_link(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "LEAVES", 16)
+    monkeypatch.setattr(simhash, "SPLIT", 32)
+    monkeypatch.setattr(simhash, "MAX_PREFIX", 6)
+    codes = ball(3, 3000)
+    prints = spark.createDataFrame([(int(c),) for c in codes.view(np.int64)], "fingerprint bigint")
+    tiles = simhash.routed(prints).groupBy("turn", "node", "piece", "held", "p", "q").agg(
+        F.count_if("leaf").alias("leaves"), F.count_if("asks").alias("askers"))
+    most = tiles.agg(F.max("leaves"), F.max("askers")).first()
+    assert most[0] <= 3 * 32 and most[1] <= 3 * 32 * 7
+    links = [(r["a"] % 2**64, r["b"] % 2**64) for r in simhash.near_links(prints).collect()]
+    root = {int(c): int(c) for c in codes}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for a, b in links:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    assert {c: find(c) for c in root} == groups(codes)
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 160)] + [(200, 200), (None, 5), (300, 299)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a bigint, b bigint"), "a", "b").collect()}
