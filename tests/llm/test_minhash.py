@@ -1,8 +1,10 @@
 """Fingerprints: edited texts, closeness to the true likeness, and odd inputs."""
 
 import hashlib
+import re
 
 import numpy as np
+import xxhash
 from pyspark.sql import functions as F
 
 from millrace.llm import minhash
@@ -36,6 +38,48 @@ def test_likeness_is_close_to_the_true_one(spark, sf):
     assert abs(following.mean()) < 0.02 and following.std() < 0.06
 
 
+def signed(value):
+    return value - (1 << 64) if value >> 63 else value
+
+
+def folded(values, width):
+    """The 64-bit hash of whole numbers of ``width`` bytes, one after the other."""
+    seed = 42
+    for v in values:
+        seed = xxhash.xxh64_intdigest((v % (1 << 8 * width)).to_bytes(width, "little"), seed)
+    return seed
+
+
+def plain_fingerprint(text):
+    words = [xxhash.xxh64_intdigest(w.encode(), 42) for w in re.split("[\x20\x09-\x0D]+", text or "") if w]
+    if len(words) >= 5:
+        hashes = [folded(words[i:i + 5], 8) for i in range(len(words) - 4)]
+    else:
+        hashes = [42] if words else []
+        for w in words:
+            hashes = [folded([hashes[0], w], 8)]
+    least = {}
+    for h in hashes:
+        least[h >> 56] = min(h, least.get(h >> 56, h))
+    full = {b: h % 16 for b, h in least.items()}
+
+    def value(b):
+        tries = [b, *(folded([b, t], 4) % 256 for t in range(8))]
+        hit = next((full[t] for t in tries if t in full), None)
+        return min((signed(folded([b, o, 8], 4)), low) for o, low in full.items())[1] if hit is None else hit
+
+    return "".join(f"{value(b):x}" for b in range(256)) if full else ""
+
+
+def test_fingerprints_by_a_plain_computation(spark, sf, documents):
+    given = [(r["doc_id"], r["text"]) for r in table(spark, sf, "documents").select("doc_id", "text").collect()]
+    odd = [(-1, None), (-2, " \n"), (-3, "one"), (-4, "a b c d"), (-5, "a b c d e"), (-6, "é\u00a0ü 名 b\x0bc d e f g"),
+           (-7, "again " * 3000)]
+    want = {i: plain_fingerprint(t) for i, t in given + odd}
+    got = {r["doc_id"]: r["fingerprint"] for r in minhash.fingerprints(documents(given + odd)).collect()}
+    assert got == want
+
+
 def test_fingerprints_of_equal_texts_are_equal(spark, documents):
     rows = {r["doc_id"]: r["fingerprint"] for r in minhash.fingerprints(documents(
         [(1, "a b c d e f"), (2, "a  b\nc d e f"), (3, "a"), (4, None), (5, " \n"), (6, "a b c d e g")])).collect()}
