@@ -86,13 +86,16 @@ def value_paths(value, at: str = "") -> set[str]:
 
 
 def mapping_for(paths: Iterable[str]) -> tuple[str | None, Listed | Fields | Rows | None]:
-    """(fingerprint, mapping) of the layout with exactly these paths, else of the largest layout among them."""
+    """(fingerprint, mapping) of the layout with exactly these paths, else of the largest layout among them.
+
+    Of several largest the one that LAYOUTS states first counts.
+    """
     here = set(paths)
     exact = fingerprint(here)
     if exact in BY_FINGERPRINT:
         return exact, BY_FINGERPRINT[exact][1]
-    inside = [(len(p), f) for f, (p, _) in BY_FINGERPRINT.items() if p <= here]
-    found = max(inside, default=(0, None))[1]
+    inside = [f for f, (p, _) in BY_FINGERPRINT.items() if p <= here]
+    found = max(inside, key=lambda f: len(BY_FINGERPRINT[f][0]), default=None)
     return found, BY_FINGERPRINT[found][1] if found else None
 
 

@@ -38,6 +38,16 @@ def test_fingerprint_ignores_order():
     assert chat.mapping_for(["nothing"]) == (None, None)
 
 
+def test_the_layout_stated_first_wins_among_equally_large_ones():
+    stated = list(chat.LAYOUTS)
+    for a in stated:
+        for b in stated:
+            if len(a) == len(b) and a != b:
+                most = [p for p in stated if p <= a | b and len(p) == max(len(q) for q in stated if q <= a | b)]
+                assert chat.mapping_for([*a, *b, "more"])[1] == chat.LAYOUTS[most[0]]
+    assert chat.mapping_for(["prompt", "response", "completion"])[1] == chat.LAYOUTS[frozenset(["prompt", "completion"])]
+
+
 def turns_of(df, key="id"):
     return sorted((r[key], r["turn"], r["role"], r["text"]) for r in df.collect())
 
