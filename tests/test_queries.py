@@ -42,3 +42,13 @@ def test_approximate_counts_are_close(spark):
     for row in pairs.groupBy("k").agg(F.count_distinct("user").alias("exact"),
                                       F.approx_count_distinct("user", 0.01).alias("guess")).collect():
         assert abs(row["guess"] - row["exact"]) <= 0.03 * row["exact"]
+
+
+def test_no_user_carries_a_sketch_of_its_own(spark, tmp_path):
+    rows = [("view", i % 40) for i in range(200)] + [("click", None)] * 5 + [(None, 3), (None, 4), (None, None), ("click", 7), ("only null", None)]
+    spark.createDataFrame(rows, "event_type string, user_id bigint").write.parquet(f"{tmp_path}/events.parquet")
+    found = QUERIES["approx_distinct"](spark, str(tmp_path))
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    per_user = [line for line in plan.splitlines() if "user_id" in line.partition("keys=[")[2].partition("]")[0]]
+    assert per_user and not any("approx" in line for line in per_user)
+    assert {tuple(r) for r in found.collect()} == {("view", 40, True), ("click", 1, True), (None, 2, True), ("only null", 0, True)}
