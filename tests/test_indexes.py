@@ -89,3 +89,24 @@ def test_one_long_interval_among_short_ones_unfolds_little(spark):
     events = spark.range(1000).select(F.lit(1).alias("k"), (F.lit(begin) + F.make_dt_interval(mins=F.col("id").cast("int"))).alias("t"))
     got = rows(counted_within(spark.createDataFrame(spans, "k int, b timestamp, e timestamp"), events, "k", "b", "e", "t"))
     assert sorted(n for *_, n in got) == [1] * 1000 + [1000]
+
+
+def test_only_counted_rows_are_broadcast(spark, monkeypatch):
+    """The many places stay where they are, whatever size a plan takes them to have."""
+    from millrace.operators import nearest as module
+
+    plans, keep = [], module.checkpointed
+    monkeypatch.setattr(module, "checkpointed", lambda df: (plans.append(df._jdf.queryExecution().sparkPlan().toString()), keep(df))[1])
+    places = spark.range(4000).selectExpr("CAST(id AS int) AS place", "17 + id % 61 / 61 AS y", "78 + id % 67 / 67 AS x")
+    points = [(17.2 + i / 7, 78.1 + i / 9) for i in range(5)]
+    want = plain_nearest(points, [tuple(r) for r in places.collect()])
+    df = spark.createDataFrame([(i, *p, "taken") for i, p in enumerate(points)], POINTS).drop("place")
+    for limit in (module.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(module, "BROADCAST_ROWS", limit)
+        plans.clear()
+        got = {r["n"]: r["place"] for r in nearest(df, "lat", "lon", places, "place", "y", "x").collect()}
+        assert [got[i] for i in range(5)] == want
+        met = [p for p in plans if "Join" in p]
+        assert met and all(("BroadcastHashJoin" in p) == bool(limit) for p in met)
+        # What is repeated for nine cells, and broadcast, are the few positions.
+        assert all("_lat" in line and "_id" not in line for p in met for line in p.splitlines() if "Generate" in line)
