@@ -6,6 +6,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from millrace.session import checkpointed
+
+PIECE = 250_000  # rows of a hot key that are joined in one task
+
 
 def _outer(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
     mine, theirs = ([c for c in side.columns if c not in on] for side in (left, right))
@@ -19,15 +23,30 @@ def hot_keys(df: DataFrame, on: Sequence[str], share: float = 0.01) -> DataFrame
     return counts.where(F.col("_n") >= total * share).select(*on)
 
 
+def _dealt(side: DataFrame, own: str, count: str, other: str, others: str) -> DataFrame:
+    """Rows of hot keys, each in one of its key's ``count`` pieces and once for each of the ``others`` pieces.
+
+    A row's piece depends on its values and on the input partition that it stands
+    in, so a task that runs again deals its rows as before, and equal rows do not
+    all meet.  Maps cannot be hashed and do not count.
+    """
+    values = [name for name, kind in side.dtypes if "map<" not in kind and name not in (count, others)]
+    piece = F.pmod(F.xxhash64(F.spark_partition_id(), *values), F.col(count))
+    return (side.withColumn(own, piece.cast("int"))
+            .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(others) - 1))).drop(count, others))
+
+
 def hot_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str,
                   hot: DataFrame | None = None) -> DataFrame:
     """Inner or outer join; each side is read once unless ``hot`` keys are given.
 
     AQE splits a hot partition on both sides of an inner join, but only on the
-    preserved side of an outer join and not at all in a full join.  Where keys
-    were measured hot (``hot_keys``, bounded by its share), their rows go apart:
-    matches by an inner join, the rest by anti joins against the few hot keys
-    that the other side has.
+    preserved side of an outer join and not at all in a full join; and it goes by
+    bytes, of which many like rows have few.  Where keys were measured hot
+    (``hot_keys``, bounded by its share), their rows go apart: their matches by an
+    inner join of pieces of at most about PIECE rows, in which every row of a
+    key's left pieces meets every row of its right ones once.  Rows without a
+    match, and those with a null key, are not joined at all.
     """
     on = list(on)
     if how not in ("inner", "left", "right", "full"):
@@ -35,13 +54,24 @@ def hot_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str
     if hot is None:
         return _outer(left, right, on, how)
     marked = F.broadcast(hot.select(*on).distinct())
-    parts = [_outer(left.join(marked, on, "left_anti"), right.join(marked, on, "left_anti"), on, how)]
-    busy_left, busy_right = (side.join(marked, on, "left_semi") for side in (left, right))
-    parts.append(_outer(busy_left, busy_right, on, "inner"))
-    for side, other, kinds in ((busy_left, busy_right, ("left", "full")), (busy_right, busy_left, ("right", "full"))):
+    counts = [side.join(marked, on, "left_semi").groupBy(*on).agg(F.count(F.lit(1)).alias(name))
+              for side, name in ((left, "_lefts"), (right, "_rights"))]
+    # No more rows than hot keys, and every one of them that either side has.
+    plan = checkpointed(counts[0].join(counts[1], on, "full").select(
+        *on, *[F.coalesce(F.ceil(F.col(name) / PIECE), F.lit(0)).cast("int").alias(name) for name in ("_lefts", "_rights")]))
+    known = F.lit(True)
+    for key in on:
+        known = known & F.col(key).isNotNull()
+    rest = [side.where(known).join(F.broadcast(plan.select(*on)), on, "left_anti") for side in (left, right)]
+    parts = [_outer(*rest, on, how)]
+    both = F.broadcast(plan.where("_lefts > 0 AND _rights > 0"))
+    parts.append(_outer(_dealt(left.join(both, on), "_i", "_lefts", "_j", "_rights"),
+                        _dealt(right.join(both, on), "_j", "_rights", "_i", "_lefts"),
+                        [*on, "_i", "_j"], "inner").drop("_i", "_j"))
+    for side, others, kinds in ((left, "_rights", ("left", "full")), (right, "_lefts", ("right", "full"))):
         if how in kinds:
-            # No more rows than hot keys.
-            parts.append(side.join(F.broadcast(other.select(*on).distinct()), on, "left_anti"))
+            alone = F.broadcast(plan.where(F.col(others) == 0).select(*on, F.lit(True).alias("_alone")))
+            parts.append(side.join(alone, on, "left").where(~known | F.col("_alone")).select(*side.columns))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part, allowMissingColumns=True)

@@ -287,3 +287,24 @@ def test_names_are_resolved_by_id_or_any_part(spark):
     terms = ["airport", " LAKE ", "ew", "e", "2", "99", "nowhere", "", None, "road"]
     got = {r["t"]: r["id"] for r in joins.resolved(spark.createDataFrame([(t,) for t in terms], "t string"), "t", names).collect()}
     assert got == {"airport": 1, " LAKE ": 2, "ew": 2, "e": 2, "2": 2, "99": None, "nowhere": None, "": None, None: None, "road": 3}
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+def test_a_hot_key_is_joined_in_pieces(spark, monkeypatch, how):
+    """Like rows take few bytes, so AQE leaves them in one task; they are dealt by their number."""
+    monkeypatch.setattr(joins, "PIECE", 100, raising=False)
+    left = spark.range(4000, numPartitions=8).selectExpr("CASE WHEN id % 2 = 0 THEN -1 WHEN id % 5 = 0 THEN NULL ELSE id END AS k", "id % 3 AS v")
+    right = spark.createDataFrame([(-1, "x"), (-1, "x"), (-1, "y"), (3, "z"), (None, "n"), (9999, "q")], "k bigint, w string")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {c: spark.conf.get(c) for c in conf}
+    try:
+        for c, v in conf.items():
+            spark.conf.set(c, v)
+        for a, b in ((left, right), (right, left)):
+            got = joins.hot_safe_join(a, b, ["k"], how, joins.hot_keys(left, ["k"]))
+            assert rows(got) == rows(a.join(b, "k", how).select(got.columns))
+            placed = got.where("k = -1").groupBy(F.spark_partition_id().alias("p")).count().agg(F.count("*"), F.max("count")).first()
+            assert placed[0] >= 3 and placed[1] < 6000
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
