@@ -27,6 +27,19 @@ def shrink(df: DataFrame, partitions: int) -> DataFrame:
     return df.coalesce(partitions)
 
 
+def by_value(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows with the same values brought together, a value that is too big for one task split by AQE.
+
+    Dealt into no more partitions than a shuffle writes without sorting
+    (``spark.shuffle.sort.bypassMergeThreshold``): a map task appends each row to its
+    partition's file and neither holds nor spills its rows, whatever the input's splits.
+    AQE splits what is large by then, so the tasks that follow stay small.
+    """
+    spark = df.sparkSession
+    unsorted = int(spark.conf.get("spark.shuffle.sort.bypassMergeThreshold", "200"))
+    return df.hint("rebalance", min(unsorted, int(spark.conf.get("spark.sql.shuffle.partitions"))), *columns)
+
+
 def salted_repartition(df: DataFrame, partitions: int, key: str, salt: Column, salts: int,
                        hot: Column | None = None) -> DataFrame:
     """Repartition by key where a hot key is spread over ``salts`` partitions."""

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from support import rows
 from millrace.operators.joins import hot_keys, hot_safe_join
-from millrace.operators.layout import planned_repartition, salt_plan
+from millrace.operators.layout import by_value, plan_text, planned_repartition, salt_plan
 
 
 @pytest.fixture(scope="module")
@@ -42,3 +42,30 @@ def test_rows_of_a_hot_key_join_like_any_other(spark, skewed, how):
     want = skewed.join(right, ["k"], how)
     agg = lambda df: tuple(df.agg(F.count("*"), F.sum("id"), F.sum("v"), F.count("k")).first())
     assert agg(got) == agg(want)
+
+
+def test_the_fact_is_dealt_without_a_sort_and_its_trips_only_once(spark, tmp_path, monkeypatch):
+    from millrace.plans import warehouse
+
+    trips = spark.range(60).selectExpr(
+        "CAST(id AS string) AS trip_id", "id % 7 AS driver_id", "id AS rider_id", "1 AS pickup_zone_id", "2 AS dropoff_zone_id",
+        "timestamp_seconds(id * 86400) AS request_time", "timestamp_seconds(id * 86400) AS pickup_time",
+        "timestamp_seconds(id * 86400 + 60) AS dropoff_time", "1.5D AS distance_km", "10.0D AS fare", "'COMPLETED' AS status", "CAST(NULL AS string) AS cancel_reason")
+    drivers = spark.createDataFrame([(i if i else None, 10 + i) for i in range(5)], "driver_id bigint, driver_key bigint")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "600"}
+    old = {c: spark.conf.get(c) for c in conf}
+    try:
+        for c, v in conf.items():
+            spark.conf.set(c, v)
+        fact = warehouse.fact_trips(trips, drivers)
+        assert "BroadcastHashJoin" in plan_text(fact)
+        monkeypatch.setattr(warehouse, "BROADCAST_DRIVERS", 4)
+        shuffled = warehouse.fact_trips(trips, drivers)
+        assert "BroadcastHashJoin" not in plan_text(shuffled) and rows(shuffled) == rows(fact)
+        assert "hashpartitioning(trip_date" in plan_text(by_value(fact, "trip_date"))
+        assert ", 200), REBALANCE" in plan_text(by_value(fact, "trip_date"))
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    warehouse.write_partitioned(fact, f"{tmp_path}/fact", ["city", "trip_date"])
+    assert rows(spark.read.parquet(f"{tmp_path}/fact").select(fact.columns)) == rows(fact)
