@@ -6,6 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from millrace.operators.layout import by_value
+
+
 def report_csv(df: DataFrame, path: str, files: int | None = 1) -> None:
     """CSV with a header in at most ``files`` files; None leaves the number to the result's partitions.
 
@@ -21,7 +24,7 @@ def partitioned_csv(df: DataFrame, path: str, *columns: str) -> None:
 def clustered_csv(df: DataFrame, path: str, *columns: str) -> None:
     """Partitioned CSV with few files per value: rows are brought together first, and the
     rebalance splits a value that is too big for one task."""
-    partitioned_csv(df.hint("rebalance", *columns), path, *columns)
+    partitioned_csv(by_value(df, *columns), path, *columns)
 
 
 def parquet_tables(tables: Mapping[str, DataFrame], base: str) -> None:
@@ -30,7 +33,7 @@ def parquet_tables(tables: Mapping[str, DataFrame], base: str) -> None:
 
 
 def partitioned_parquet(df: DataFrame, path: str, columns: Sequence[str]) -> None:
-    df.hint("rebalance", *columns).write.mode("overwrite").partitionBy(*columns).parquet(path)
+    by_value(df, *columns).write.mode("overwrite").partitionBy(*columns).parquet(path)
 
 
 def csv_copy(df: DataFrame, path: str, drop: Sequence[str] = ("city",)) -> None:

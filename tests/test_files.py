@@ -182,3 +182,20 @@ def test_repair_finds_new_partitions(spark, tmp_path):
     catalog.as_view(df, "a_view")
     assert spark.sql("SELECT count(*) FROM a_view").first()[0] == 1
     spark.sql("DROP TABLE ext_table")
+
+
+def test_partitioned_files_are_dealt_without_a_sort(spark, tmp_path, monkeypatch):
+    """Beyond 200 partitions a shuffle would sort its rows in the map tasks, and spill them where they are many."""
+    plans, deal = [], sinks.by_value
+    monkeypatch.setattr(sinks, "by_value", lambda df, *columns: (plans.append(plan_text(deal(df, *columns))), deal(df, *columns))[1])
+    df = spark.range(300).selectExpr("id", "IF(id % 4 = 3, NULL, id % 4) AS kind")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "600")
+        sinks.partitioned_parquet(df, str(tmp_path / "parquet"), ["kind"])
+        sinks.clustered_csv(df, str(tmp_path / "csv"), "kind")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert len(plans) == 2 and all(", 200), REBALANCE" in p for p in plans)
+    for back in (spark.read.parquet(str(tmp_path / "parquet")), spark.read.csv(str(tmp_path / "csv"), header=True)):
+        assert rows(back.selectExpr("CAST(id AS bigint)", "CAST(kind AS bigint)")) == rows(df)
