@@ -361,3 +361,15 @@ def test_medallion(spark, tmp_path):
     surge = spark.createDataFrame([(1, "t", 1, 1, 1, 1.0, 1.0, 0.0, 20.0, 5)], "zone_id int, window_end string, demand int, supply int, "
                                   "on_trip int, ratio double, surge_multiplier double, rain_mm_h double, temp_c double, batch_id int")
     assert "batch_id" not in medallion.zone_minute_surge(surge).columns
+
+
+def test_the_lake_is_written_small(spark, tmp_path):
+    from test_jobs import trip
+    lake = medallion.Lake(str(tmp_path / "landing"), str(tmp_path / "tables"), str(tmp_path / "check"))
+    spark.createDataFrame([trip(1), trip(1), trip(6)], TRIPS).write.parquet(f"{lake.landing}/trips")
+    spark.createDataFrame([("p1", iso(1), "D1", 1, 17.4, 78.4, "ON_TRIP", "live")], DRIVER_PINGS).write.parquet(f"{lake.landing}/pings")
+    gold = medallion.run(spark, lake)
+    assert rows(gold["zone_hourly_kpis"].select("pickup_zone_id", "requests")) == [(10, 2)]
+    for table in ("bronze_trips", "silver_trips", "bronze_pings", "silver_pings"):
+        files = [p.name for p in (tmp_path / "tables" / table).glob("part-*")]
+        assert files and all(".zstd." in name for name in files)
