@@ -373,3 +373,68 @@ def test_the_lake_is_written_small(spark, tmp_path):
     for table in ("bronze_trips", "silver_trips", "bronze_pings", "silver_pings"):
         files = [p.name for p in (tmp_path / "tables" / table).glob("part-*")]
         assert files and all(".zstd." in name for name in files)
+
+
+def many_trips(spark, ids, name="concat('T', id)"):
+    """A trip a minute for every id; each seventh has no zone."""
+    return spark.range(*ids).select(
+        F.expr(name).alias("trip_id"), F.concat(F.lit("D"), F.col("id") % 50).alias("driver_id"), F.lit("R").alias("rider_id"),
+        F.expr("nullif(cast(id % 7 AS int), 0)").alias("pickup_zone_id"), F.lit(11).alias("dropoff_zone_id"),
+        F.timestamp_seconds(1790000000 + F.col("id")).alias("request_time"), F.timestamp_seconds(1790000060 + F.col("id")).alias("pickup_time"),
+        F.timestamp_seconds(1790000900 + F.col("id")).alias("dropoff_time"), (F.col("id") % 30).cast("double").alias("distance_km"),
+        F.lit(100).cast("decimal(10,2)").alias("fare"), F.lit("COMPLETED").alias("status"), F.lit(None).cast("string").alias("cancel_reason"),
+        F.timestamp_seconds(F.col("id")).alias("last_modified"))
+
+
+def no_pings(spark, lake):
+    spark.createDataFrame([], DRIVER_PINGS).write.parquet(f"{lake.landing}/pings")
+
+
+def same_rows(found, expected):
+    return found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+
+
+def test_silver_holds_one_whole_row_of_each_key(spark, tmp_path):
+    """Copies in one file and in others, in files of several bitmaps; copies that come a run later; no new files; an interrupted run."""
+    lake = medallion.Lake(str(tmp_path / "landing"), str(tmp_path / "tables"), str(tmp_path / "check"))
+    landing, silver = f"{lake.landing}/trips", lake.path("silver_trips")
+    no_pings(spark, lake)
+    trips = many_trips(spark, (70000,))
+    shuffled = trips.union(trips.where("distance_km < 10")).orderBy(F.hash("trip_id"), "trip_id").coalesce(1)
+    shuffled.write.mode("append").parquet(landing)
+    trips.where("distance_km > 15").coalesce(1).write.mode("append").parquet(landing)
+    nameless = trips.limit(9).withColumn("trip_id", F.lit(None).cast("string")).withColumn("pickup_zone_id", F.lit(3))
+    nameless.coalesce(1).write.mode("append").parquet(landing)
+    medallion.run(spark, lake)
+    found = spark.read.parquet(silver)
+    assert found.columns == trips.columns
+    assert same_rows(found.where("trip_id IS NOT NULL"), trips.where("pickup_zone_id IS NOT NULL"))
+    assert found.where("trip_id IS NULL").count() == 1
+    assert not (tmp_path / "check" / "marks_trips").exists()
+
+    many_trips(spark, (69990, 70010)).write.mode("append").parquet(landing)
+    for _ in range(2):  # the second time nothing has landed
+        medallion.run(spark, lake)
+        assert same_rows(spark.read.parquet(silver).where("trip_id IS NOT NULL"), many_trips(spark, (70010,)).where("pickup_zone_id IS NOT NULL"))
+
+    many_trips(spark, (70000, 70020)).write.mode("append").parquet(landing)
+    medallion.bronze(spark, lake, "trips", TRIPS).awaitTermination()
+    medallion.mark_first(spark, lake, medallion.SILVER[0]).awaitTermination()  # and there the driver died
+    many_trips(spark, (70010, 70030)).write.mode("append").parquet(landing)
+    medallion.run(spark, lake)
+    assert same_rows(spark.read.parquet(silver).where("trip_id IS NOT NULL"), many_trips(spark, (70030,)).where("pickup_zone_id IS NOT NULL"))
+
+
+def test_silver_moves_places_of_rows_and_leaves_the_session_as_it_was(spark, tmp_path):
+    lake = medallion.Lake(str(tmp_path / "landing"), str(tmp_path / "tables"), str(tmp_path / "check"))
+    no_pings(spark, lake)
+    long_ids = "concat_ws('', transform(sequence(1, 20), x -> sha2(concat(id, '-', x), 512)))"
+    trips = many_trips(spark, (2000,), long_ids)
+    trips.union(trips).write.parquet(f"{lake.landing}/trips")
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    medallion.run(spark, lake)
+    assert same_rows(spark.read.parquet(lake.path("silver_trips")), trips.where("pickup_zone_id IS NOT NULL"))
+    state = sum(p.stat().st_size for p in (tmp_path / "check").rglob("state/**/*") if p.is_file())
+    assert 0 < state < 1_000_000  # the ids themselves are 2 MB, zipped
+    assert spark.conf.get(provider) == before and spark.conf.get("parquet.page.size", None) is None
